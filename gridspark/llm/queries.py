@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .binary_records import op1_binary_records
+from .language_id import op8_language_id
+from .license_scans import op9_license_scans
 from .sentencepiece_bpe import op7_sentencepiece
 from .token_counts import op5_token_counts
 from .url_filters import OP3_SQL, op3_url_filters
 
-QUERIES = {f.__name__: f for f in (op1_binary_records, op3_url_filters, op5_token_counts, op7_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_binary_records, op3_url_filters, op5_token_counts, op7_sentencepiece, op8_language_id, op9_license_scans)}
 SQL = {"op3_url_filters": OP3_SQL}
