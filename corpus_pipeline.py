@@ -3,18 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridspark.llm.common import new_path
+from gridspark.llm.decontamination import decontaminate
+from gridspark.llm.language_id import fit, identify
+from gridspark.llm.minhash import near_duplicates
 from gridspark.llm.sentencepiece_bpe import encode_decode
+from gridspark.llm.suffix_dedup import remove_repeats
+
+
+def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a known language stay; those without letters or beyond the calibrated limit go."""
+    return identify(docs, fit(docs)).where("not rejected").select(docs.columns)
+
+
+def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays; rows without doc_id stay."""
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that start earlier; n_chars follows the text."""
+    out = remove_repeats(docs).withColumn("text", F.col("kept_text"))
+    return (out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out).select(docs.columns)
+
+
+def stage_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold or paraphrase a benchmark item go."""
+    leaks = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
 
 
 def stage_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, and what they decode to."""
     import public_tokenizers
 
     return encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [("sentencepiece", stage_encode)]
+STAGES = [
+    ("language_id", stage_language),
+    ("minhash", stage_near_duplicates),
+    ("suffix_dedup", stage_repeats),
+    ("decontamination", stage_benchmark),
+    ("sentencepiece", stage_encode),
+]
 
 #: SQL expresses neither the language models nor the subword merges.
 ORACLE_SQL = None
