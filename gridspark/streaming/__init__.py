@@ -1,0 +1,15 @@
+"""Incremental per-tile statistics over a stream of points; batch plans cover everything else."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.grids import tile_id, tile_origin
+
+
+def stream_tile_counts(points: DataFrame, width: int = 10, delay: str = "1 hour", window: str = "1 day") -> DataFrame:
+    """Counts and sums by tile and event-time window of a streaming DataFrame points(ts, x, y, value)."""
+    left, top = tile_origin(F.col("x"), F.col("y"), width)
+    keyed = points.withWatermark("ts", delay).withColumn("tile_id", tile_id(left, top))
+    return keyed.groupBy(F.window("ts", window), "tile_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
