@@ -41,8 +41,12 @@ def block_size(cols: int) -> int:
 def latlng_grid(width: int, cols: int) -> Grid:
     if 360 % width or cols % 16 or (width % 2 and (360 % width or 180 % width)):
         raise ValueError(f"no grid of {width} degrees and {cols} pixels")
-    # a grid of 8 degrees is centred on the equator, so that half a tile is cut off at either pole
-    return Grid(f"{width}/{cols}", "latlng", "EPSG:4326", width, cols, width / cols, block_size(cols), 360 // width, 180 // width - (180 % width > 0) + (180 // width + 1) % 2 * (180 % width > 0))
+    return Grid(f"{width}/{cols}", "latlng", "EPSG:4326", width, cols, width / cols, block_size(cols), 360 // width, 2 * highest_top(width) // width)
+
+
+def highest_top(width: int) -> int:
+    """Top of the northernmost row: 90, or, where half a tile lies on either side of the equator, the last that fits."""
+    return (90 - width // 2) // width * width + width // 2 if 180 % width else 90
 
 
 def mercator_grid(zoom: int) -> Grid:
@@ -86,10 +90,10 @@ def tile_corner(tile: Column) -> tuple[Column, Column]:
 
 def latlng_tiles(spark: SparkSession, width: int) -> DataFrame:
     """(left, top) of all tiles of a grid, made by tasks."""
-    half = (180 % width) // 2
-    n_x, n_y = 360 // width, (180 - 2 * half) // width
+    highest = highest_top(width)
+    n_x, n_y = 360 // width, 2 * highest // width
     i = F.col("id")
-    left, top = F.pmod(i, F.lit(n_x)) * width - 180, F.lit(90 - half) - F.floor(i / n_x) * width
+    left, top = F.pmod(i, F.lit(n_x)) * width - 180, F.lit(highest) - F.floor(i / n_x) * width
     return spark.range(n_x * n_y).select(left.cast("int").alias("left"), top.cast("int").alias("top"))
 
 

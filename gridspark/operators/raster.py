@@ -44,14 +44,14 @@ def band_stack(bands: list[DataFrame], keys: tuple[str, ...] = ("row_i", "col_i"
     return out
 
 
-def resample(pixels: DataFrame, ratio: int, method: str, value: str = "v", row: str = "row_i", col: str = "col_i", group: tuple[str, ...] = ()) -> DataFrame:
+def resample(pixels: DataFrame, ratio: int, method: str, value: str = "v", row: str = "row_i", col: str = "col_i", group: tuple[str, ...] = (), size: tuple[int, int] | None = None) -> DataFrame:
     """Pixels at a resolution that is coarser by a whole ratio: (group, r, c, value)."""
     method = resampling_method(method)
     if method == "nearest":
         middle = (F.pmod(row, F.lit(ratio)) == ratio // 2) & (F.pmod(col, F.lit(ratio)) == ratio // 2)
         return pixels.where(middle).select(*group, F.floor(F.col(row) / ratio).cast("int").alias("r"), F.floor(F.col(col) / ratio).cast("int").alias("c"), value)
     if method in KERNELS:
-        return interpolate(pixels, ratio, method, value, row, col, group)
+        return interpolate(pixels, ratio, method, value, row, col, group, size)
     valid = pixels.where(F.col(value).isNotNull())
     return valid.groupBy(*group, F.floor(F.col(row) / ratio).cast("int").alias("r"), F.floor(F.col(col) / ratio).cast("int").alias("c")).agg(AGGREGATES[method](F.col(value)).alias(value))
 
@@ -71,8 +71,11 @@ def kernel(method: str, d: Column) -> Column:
     return F.when(x == 0, 1.0).when(x < 3, 3 * F.sin(px) * F.sin(px / 3) / (px * px)).otherwise(0.0)
 
 
-def interpolate(pixels: DataFrame, ratio: int, method: str, value: str, row: str, col: str, group: tuple[str, ...] = ()) -> DataFrame:
-    """Each source pixel adds its weight to the output pixels whose centres it is near to; valid pixels share the weight."""
+def interpolate(pixels: DataFrame, ratio: int, method: str, value: str, row: str, col: str, group: tuple[str, ...] = (), size: tuple[int, int] | None = None) -> DataFrame:
+    """Each source pixel adds its weight to the output pixels whose centres it is near to; valid pixels share the weight.
+
+    size: rows and columns of the source; wide kernels reach output pixels beyond it, which go.
+    """
     reach = KERNELS[method]
 
     def near(c: str, name: str) -> Column:
@@ -84,6 +87,8 @@ def interpolate(pixels: DataFrame, ratio: int, method: str, value: str, row: str
     at = lambda name, c: kernel(method, F.col(c) - ((F.col(name) + 0.5) * ratio - 0.5))
     weight = (at("_r", row) * at("_c", col)).alias("_w")
     sums = spread.select("*", weight).where("_w <> 0 and _r >= 0 and _c >= 0").groupBy(*group, F.col("_r").cast("int").alias("r"), F.col("_c").cast("int").alias("c")).agg(F.sum(F.col(value) * F.col("_w")).alias("_s"), F.sum("_w").alias("_w"))
+    if size:
+        sums = sums.where((F.col("r") * ratio < size[0]) & (F.col("c") * ratio < size[1]))
     return sums.where(F.abs("_w") > 1e-9).select(*group, "r", "c", (F.col("_s") / F.col("_w")).alias(value))
 
 
