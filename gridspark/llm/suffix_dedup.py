@@ -270,7 +270,21 @@ def judge(blocks: int):
         name, uid, start, size = (column(rows, c, k) for c, k in (("name", "<u8"), ("uid", "<i8"), ("start", "<u4"), ("size", "<u4")))
         first = np.cumsum(size.astype(np.int64)) - size
         data = b"".join(r["bytes"] for r in rows)
-        order = np.argsort(name, kind="stable")  # so that a name's segments lie in as few parts as can be
+        # equal segments of other blocks: the earliest stays, the others are repeats as they are
+        seen: dict[bytes, int] = {}
+        again = []
+        for i in np.lexsort((start, uid)).tolist():
+            if seen.setdefault(data[first[i] : first[i] + int(size[i])], i) != i:
+                again.append(i)
+        spans = [[uid[again]], [start[again].astype(np.int64)], [start[again].astype(np.int64) + size[again]]]
+        # a name's only segment can repeat nothing but itself, and that only if it has its name twice
+        keep = np.fromiter(seen.values(), np.int64, len(seen))
+        _, of, n = np.unique(name[keep], return_inverse=True, return_counts=True)
+        alone = n[of] == 1
+        lone = keep[alone]
+        _, of, _, _, own = runs(np.frombuffer(b"".join([x for x, one in zip(seen, alone.tolist(), strict=True) if one]), np.uint8), size[lone].astype(np.int64))
+        order = np.concatenate([keep[~alone], lone[np.unique(of[own])]])
+        order = order[np.argsort(name[order], kind="stable")]  # so that a name's segments lie in as few parts as can be
         # starts in the order of (uid, place): documents are numbered, and lie farther apart than any is long
         number = np.unique(uid, return_inverse=True)[1].astype(np.int64)
         place = (number << 32) + start
@@ -280,7 +294,10 @@ def judge(blocks: int):
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # a segment's last bytes are never marked
         of = np.searchsorted(np.cumsum(size), a, side="right")
         offset = start[of] - (np.cumsum(size) - size)[of]
-        spans = [np.concatenate(x) for x in ((uid[of], column(rows, "rest_uid", "<i8")), (a + offset, column(rows, "rest_start", "<u4").astype(np.int64)), (b + offset + LENGTH - 1, column(rows, "rest_end", "<u4").astype(np.int64)))]
+        spans[0] += [uid[of], column(rows, "rest_uid", "<i8")]
+        spans[1] += [a + offset, column(rows, "rest_start", "<u4").astype(np.int64)]
+        spans[2] += [b + offset + LENGTH - 1, column(rows, "rest_end", "<u4").astype(np.int64)]
+        spans = [np.concatenate(x) for x in spans]
         out = [{"block": k, **c} for k, c in dealt(spans[0] % blocks, {"uid": spans[0], "start": spans[1].astype(np.uint32), "end": spans[2].astype(np.uint32)})]
         return pa.Table.from_batches([batch_of(out, SPANS)])
 
