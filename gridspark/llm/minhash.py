@@ -10,8 +10,8 @@ documents with probability equal to their weighted Jaccard similarity.
 Candidates: documents that agree in a whole band of ``ROWS`` places.  Documents of the same words form a class, and its
 smallest doc_id stands for it.  In each bucket every member is verified against the smallest one by the exact overlap of
 the multisets.  Buckets whose members do not lie in one component then have their members of different components
-compared by signature, in tiles of bounded size; the pairs that could reach the threshold are verified as well.  So no
-pair of a bucket stays undecided, and no group of copies is expanded into its pairs.
+compared by signature, in tiles of bounded size, and those that could reach the threshold are verified in the tile.  So
+no pair of a bucket stays undecided unless other links join it, and no group of copies is expanded into its pairs.
 
 Result: every document with the smallest doc_id that links reach.  Defined results: null texts, texts without words and
 rows with null doc_id link with nothing (the last have a null component and are kept); documents of fewer than five words
@@ -20,7 +20,6 @@ are one shingle; rows that repeat a doc_id are one document; an empty table give
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches, mix64, slices
-from .components import components
+from .components import Forest, components
 from .words import multiset, overlap, shingles, worker_words
 
 HASHES, ROWS = 128, 4
 SIMILARITY = 0.8
 #: Share of equal places (of one byte each) below which a pair needs no verification: over five deviations below SIMILARITY.
 ESTIMATE = 0.6
-TILE = 2048
+TILE = 512
 BITS = 1 << 23
 SIGNED = "doc_id long, c1 long, c2 long, n long, bands array<long>, places binary"
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -117,44 +116,55 @@ def verified(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY)
     both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, last = worker_words(), OrderedDict()
-
-        def bag(i: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-            if (out := last.get(i)) is None:
-                s, _, c = multiset(*shingles(*words.hashes([text])))
-                out = last[i] = s, c
-                if len(last) > 64:
-                    last.popitem(last=False)
-            return out
-
         for batch in slices(batches, "left"):
             a, b, left, right = (c.to_pylist() for c in batch.columns)
-            like = np.array([overlap(bag(i, x), bag(j, y)) for i, j, x, y in zip(a, b, left, right, strict=True)])
+            text = dict(zip(a, left, strict=True)) | dict(zip(b, right, strict=True))
+            s, of, c = multiset(*shingles(*worker_words().hashes(list(text.values()))))
+            ends = np.searchsorted(of, np.arange(len(text) + 1))
+            bag = {i: (s[x:y], c[x:y]) for i, x, y in zip(text, ends, ends[1:], strict=False)}
+            like = np.array([overlap(bag[i], bag[j]) for i, j in zip(a, b, strict=True)])
             ok = pa.array(like >= similarity)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(like)], names=["a", "b", "similarity"]).filter(ok)
 
     return both.mapInArrow(run, "a long, b long, similarity double")
 
 
-def apart(rest: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket of rest(band, key, id, label, places) and look alike enough."""
-    sized = rest.join(rest.groupBy("band", "key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), ["band", "key"])
+def apart(docs: DataFrame, rest: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between different components among members of rest(band, key, id, label, places).
+
+    Buckets that share members form one crowd, in which each document's text is read once; a crowd is spread over tiles
+    of at most TILE documents a side.  A tile compares signatures of documents of different components, verifies those
+    that look alike enough by their multisets, and returns what connects components, never the pairs that fail.
+    """
+    first = rest.groupBy("band", "key").agg(F.min("id").alias("b"))
+    crowd = components(rest.join(first, ["band", "key"]).select(F.col("id").alias("a"), "b"), "minhash-crowds")
+    member = rest.select("id", "label", "places").dropDuplicates(["id"]).join(crowd, "id")
+    member = cut(member.join(texts_of(docs, member).dropDuplicates(["id"]), "id"), "minhash-members")
+    sized = member.join(member.groupBy("root").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "root")
     own = F.pmod(F.xxhash64("id", F.lit(4)), F.col("tiles")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    tiled = sized.withColumn("own", own).withColumn("other", other).select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "places")
+    tiled = sized.withColumn("own", own).withColumn("other", other).select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "places", "text")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, _, i, j = key
-        left, right = rows[rows.own == i], rows[rows.own == j]
-        x, y = (np.frombuffer(b"".join(r.places), np.uint8).reshape(len(r), -1) for r in (left, right))
-        out = []
-        for a, (doc, label, p) in enumerate(zip(left.id, left.label, x, strict=True)):
-            like = (y == p).mean(axis=1)
-            hit = np.flatnonzero((like >= ESTIMATE) & (right.label.to_numpy() != label) & ((i != j) | (np.arange(len(y)) > a)))
-            out += [(min(doc, d), max(doc, d)) for d in right.id.to_numpy()[hit].tolist()]
-        return pd.DataFrame(out, columns=["b", "a"]).astype("int64")[["a", "b"]]
-
-    return tiled.groupBy("band", "key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+        _, i, j = key
+        places = np.frombuffer(b"".join(rows.places), np.uint8).reshape(len(rows), -1)
+        ids, side = rows.id.to_numpy(), rows.own.to_numpy()
+        value, labels, n = np.unique(rows.label, return_inverse=True, return_counts=True)
+        s, of, c = multiset(*shingles(*worker_words().hashes(rows.text.tolist())))
+        ends = np.searchsorted(of, np.arange(len(rows) + 1))
+        bag = [(s[x:y], c[x:y]) for x, y in zip(ends, ends[1:], strict=False)]
+        forest, out = Forest(len(value)), []
+        # of two rows of different components one at least is outside the most frequent component
+        for k in np.flatnonzero(labels != n.argmax()).tolist():
+            like = (places == places[k]).mean(axis=1)
+            hit = np.flatnonzero((like >= ESTIMATE) & (labels != labels[k]) & ((i == j) | (side != side[k])))
+            for d in hit[np.argsort(-like[hit], kind="stable")].tolist():
+                if forest.root(labels[k]) != forest.root(labels[d]) and overlap(bag[k], bag[d]) >= similarity:
+                    forest.link(labels[k], labels[d])
+                    out.append((max(ids[k], ids[d]), min(ids[k], ids[d])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return tiled.groupBy("root", "i", "j").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -171,9 +181,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     labelled = crowd.join(group, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("label"))
     split = labelled.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band", "key")
     rest = labelled.join(split, ["band", "key"]).join(reps.select("id", "places"), "id")
-    more = cut(apart(rest).join(pairs, ["a", "b"], "left_anti"), "minhash-more")
+    more = cut(apart(docs, cut(rest, "minhash-rest"), similarity), "minhash-more")
     if not more.isEmpty():
-        group = cut(components(links.union(verified(docs, more, similarity).select("a", "b"))), "minhash-groups")
+        group = cut(components(links.union(more)), "minhash-groups")
     member = signed.select("doc_id", "c1", "c2").distinct().join(reps.select("c1", "c2", "id"), ["c1", "c2"]).join(group, "id", "left").select("doc_id", F.coalesce("root", "id").alias("component_id"))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(member, "doc_id", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
