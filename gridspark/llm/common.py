@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Entries a worker's cache holds before it starts afresh; bounds its memory whatever the corpus.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
 #: Bytes of text that an operator holds as Python objects at a time (one longer text is held alone).
 SLICE_BYTES = 4 << 20
 
