@@ -73,10 +73,9 @@ class Encoder:
     """Texts to the bytes of their ids; one for each worker."""
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
-        from tokenizers import Tokenizer
-
-        self.width = 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
-        self.tokens, self.entries = PreTokens(path, PATTERN, True, entries, "H" if self.width == 2 else "I"), entries
+        self.tokens, self.entries = PreTokens(path, PATTERN, True, entries, "I"), entries
+        self.width = 2 if self.tokens.whole.get_vocab_size() <= 1 << 16 else 4
+        self.tokens.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -57,6 +57,8 @@ class PreTokens:
 
     def all(self, part: str) -> list:
         """What ``one`` gives for each pre-token of the part."""
+        if part.isascii() and (part[-1:] == "." or part[-1:] == ",") and part[:-1].isalpha():
+            return [self.one(part[:-1].lower() if self.lower else part[:-1]), self.one(part[-1])]
         if (tokens := self.split(part)) is None:
             return [self.keep(self.whole.encode(part, add_special_tokens=False).ids)]
         return list(map(self.one, tokens))
