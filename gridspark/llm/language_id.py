@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .common import CACHE_ENTRIES, map_batches, mix64
 
 ORDER = 4
-PER_LANGUAGE = 1500
+PER_LANGUAGE = 400
 MAX_LANGUAGES = 400
 SLACK = 1.5
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -112,7 +112,7 @@ def train(words: list[str], counts: np.ndarray, order: int = ORDER, languages: l
     """Words of letters and how often each language (a column of counts) has them."""
     x = Symbols.of(words, order)
     size = np.diff(np.append(x.starts, len(x.place)))
-    weight = np.repeat(counts, size, axis=0)
+    weight = np.repeat(counts.astype(np.float32), size, axis=0)
     n_lang = counts.shape[1]
     seen = np.unique(x.keys[0][x.place >= 1])
     unseen = -np.log(len(seen) + 1.0)
