@@ -187,6 +187,40 @@ def test_decontamination(spark):
     assert decontamination.decontaminate(docs.limit(5), bench.limit(0)).count() == 0
 
 
+def test_leaks_make_no_stop_words(spark):
+    """An item in a third of the rows is found in each of them, whole or with words dropped, and so is one in two of few rows."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))
+    items = [[word() for _ in range(40)] for _ in range(3)]
+    items.append([*items[0][:25], *(word() for _ in range(15))])
+    clean = lambda: [word() for _ in range(60)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    some, seldom = clean(), []
+    rows, want = [], set()
+    for d in range(300):
+        if d % 3 == 0:
+            rows.append((d, " ".join([*some, *items[0], *some])))
+            want.add((d, 0))
+        elif d in (1, 2):
+            rows.append((d, " ".join([*clean(), *items[1], *clean()])))
+            want.add((d, 1))
+        elif d in (4, 5):
+            left = [w for k, w in enumerate(items[0]) if k % 7 != 3]
+            rows.append((d, " ".join([*clean(), *left, *clean()])))
+            want.add((d, 0))
+        else:
+            seldom.append(d)
+            rows.append((d, " ".join(clean())))
+    schema = "doc_id long, text string"
+    found = {(x.doc_id, x.item_id) for x in decontamination.decontaminate(spark.createDataFrame(rows, schema), bench).collect()}
+    # item 3 has 25 of its 40 words from item 0, in order
+    assert want <= found and {(d, i) for d, i in found if i != 3} == want and not {d for d, _ in found} & set(seldom)
+    few = [x for x in rows if x[0] in (1, 2, 7, 8, 10)]
+    assert {(x.doc_id, x.item_id) for x in decontamination.decontaminate(spark.createDataFrame(few, schema), bench).collect()} == {(1, 1), (2, 1)}
+    short = spark.createDataFrame([(0, "Zq xv")], "item_id long, text string")
+    assert {x.doc_id for x in decontamination.decontaminate(spark.createDataFrame([(d, "a zq, xv." if d % 2 else "a b") for d in range(100)], schema), short).collect()} == set(range(1, 100, 2))
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)
