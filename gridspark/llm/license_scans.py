@@ -1,11 +1,12 @@
 """Operator 9: license scans by sentence rules.
 
-A text is cut into sentences twice: at line ends and sentence ends, and at sentence ends alone (for notices that are
-wrapped over lines).  A sentence is normalised to its lower-cased words and numbers, and mapped to the identifier of a
+A text is cut into sentences twice: at line ends and sentence ends, and at sentence ends and blank lines alone (for
+notices that are wrapped over lines); both also cut before and behind urls.  The known wordings are what these cuts leave
+of the notices.  A sentence is normalised to its lower-cased words and numbers, and mapped to the identifier of a
 known licence sentence.  The identifiers of a text, in the order of their places, are matched against the licences'
 ordered rules: a rule fits where its identifiers follow each other with no other known identifier between them; at a
 place the longest rule wins, then the first in the list, and matching goes on behind it.  Tags (SPDX) carry the licence
-in themselves.  The whole text is scanned; a text without any of the cue words needs no cutting, since every known
+in themselves, each licence of an expression on its own (an exception stays with its licence).  The whole text is scanned; a text without any of the cue words needs no cutting, since every known
 sentence holds one.
 
 Defined results: a null or empty text has no licences (empty array, empty string); repeated rows are scanned row by row;
@@ -26,29 +27,32 @@ from .common import map_batches
 SENTENCES = {
     "apache2.short": ("licensed under the apache license version 2 0", "licensed under the apache license version 2 0 the license"),
     "apache2.may-not": ("you may not use this file except in compliance with the license",),
-    "apache2.copy-at": ("you may obtain a copy of the license at http www apache org licenses license 2 0",),
+    "apache2.copy-at": ("you may obtain a copy of the license at",),
+    "apache2.url": ("http www apache org licenses license 2 0", "https www apache org licenses license 2 0"),
     "apache2.as-is": ("unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",),
     "apache2.see": ("see the license for the specific language governing permissions and limitations under the license",),
     "mit.short": ("released under the mit license", "licensed under the mit license"),
     "mit.title": ("the mit license", "mit license"),
-    "mit.grant": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",),
+    "mit.grant": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",),
+    "mit.notice": ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",),
     "mit.as-is": ("the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",),
     "gpl3.short": ("this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 3"),
     "gpl.redistribute-3": ("you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
-    "gpl.warranty": ("this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",),
+    "gpl.warranty": ("this program is distributed in the hope that it will be useful but without any warranty",),
+    "gpl.implied": ("without even the implied warranty of merchantability or fitness for a particular purpose",),
     "ccbync4.short": ("licensed under cc by nc 4 0", "this work is licensed under cc by nc 4 0"),
     "ccby4.short": ("licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"),
     "bsd.redistribution": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",),
 }
 #: Ordered rules: licence and the identifiers in order (fixed values).
 RULES = (
-    ("Apache-2.0", ("apache2.short", "apache2.may-not", "apache2.copy-at", "apache2.as-is", "apache2.see")),
+    ("Apache-2.0", ("apache2.short", "apache2.may-not", "apache2.copy-at", "apache2.url", "apache2.as-is", "apache2.see")),
     ("Apache-2.0", ("apache2.short",)),
-    ("MIT", ("mit.title", "mit.grant", "mit.as-is")),
-    ("MIT", ("mit.grant", "mit.as-is")),
+    ("MIT", ("mit.title", "mit.grant", "mit.notice", "mit.as-is")),
+    ("MIT", ("mit.grant", "mit.notice", "mit.as-is")),
     ("MIT", ("mit.grant",)),
     ("MIT", ("mit.short",)),
-    ("GPL-3.0-or-later", ("gpl.redistribute-3", "gpl.warranty")),
+    ("GPL-3.0-or-later", ("gpl.redistribute-3", "gpl.warranty", "gpl.implied")),
     ("GPL-3.0-or-later", ("gpl.redistribute-3",)),
     ("GPL-3.0-only", ("gpl3.short",)),
     ("CC-BY-NC-4.0", ("ccbync4.short",)),
@@ -57,10 +61,15 @@ RULES = (
 )
 SCHEMA = "doc_id long, licenses array<string>, sentence_ids array<string>, starts array<int>"
 _CUE = re.compile(r"licen[sc]|permission|warrant|redistribut|spdx", re.I)
-_SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
+_SENTENCE = re.compile(r"(?<=[.!?;:])\s+|\n(?:[^\w\n]*\n)+")
 _LINE = re.compile(r"(?<=[.!?;:])\s+|\s*\n\s*")
+_URL = re.compile(r"https?://[^\s<>()\"]+", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
-_SPDX = re.compile(r"spdx-license-identifier:\s*([a-z0-9.+-]*[a-z0-9+])", re.I)
+_FIRST = re.compile(r"[a-z0-9]", re.I)
+_TAG = r"[a-z0-9.+:-]*[a-z0-9+]"
+_SPDX = re.compile(rf"spdx-license-identifier:\s*(\(*{_TAG}(?:[ \t)]+(?-i:AND|OR|WITH)[ \t(]+{_TAG})*)", re.I)
+_LICENSE = re.compile(rf"{_TAG}(?:[ \t]+(?-i:WITH)[ \t]+{_TAG})?", re.I)
+_OPERATOR = {"AND", "OR"}
 _IDS = {w: i for i, ways in SENTENCES.items() for w in ways}
 
 
@@ -69,10 +78,14 @@ def normalised(sentence: str) -> str:
 
 
 def pieces(text: str, at: re.Pattern) -> list[tuple[int, str]]:
+    cuts = [m.span() for m in at.finditer(text)]
+    if "://" in text:
+        cuts = sorted([*cuts, *((p, p) for m in _URL.finditer(text) for p in m.span())])
     out, start = [], 0
-    for m in at.finditer(text):
-        out.append((start, text[start : m.start()]))
-        start = m.end()
+    for a, b in cuts:
+        if a >= start:
+            out.append((start, text[start:a]))
+            start = b
     return [*out, (start, text[start:])]
 
 
@@ -82,9 +95,12 @@ def sentence_ids(text: str) -> list[tuple[int, str]]:
     for at in (_LINE, _SENTENCE):
         for start, sentence in pieces(text, at):
             if _CUE.search(sentence) and (i := _IDS.get(normalised(sentence))):
-                found.setdefault((start, i))
+                # both cuts find a sentence at the place of its first word
+                found.setdefault((start + _FIRST.search(sentence).start(), i))
     for m in _SPDX.finditer(text):
-        found.setdefault((m.start(), f"spdx:{m[1]}"))
+        for x in _LICENSE.finditer(m[1]):
+            if x[0] not in _OPERATOR:
+                found.setdefault((m.start() if x.start() == 0 else m.start(1) + x.start(), f"spdx:{' '.join(x[0].split())}"))
     return sorted(found)
 
 

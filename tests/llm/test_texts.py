@@ -125,6 +125,77 @@ def test_license_scans(spark):
     assert got == {i: want for i, (_, want) in enumerate(cases)}
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+BSD = """Copyright (c) 2020, A. Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+"""
+
+
+def test_verbatim_notices():
+    ids = lambda t: [i for _, i in license_scans.sentence_ids(t)]
+    apache = ["apache2.short", "apache2.may-not", "apache2.copy-at", "apache2.url", "apache2.as-is", "apache2.see"]
+    want = [(MIT, ["MIT"], ["mit.title", "mit.grant", "mit.notice", "mit.as-is"]), (APACHE, ["Apache-2.0"], apache), (GPL, ["GPL-3.0-or-later"], ["gpl.redistribute-3", "gpl.warranty", "gpl.implied"]), (BSD, ["BSD"], ["bsd.redistribution"])]
+    for text, names, every in want:
+        for way in (text, "".join(f"# {line}".rstrip() + "\n" for line in text.splitlines()).replace("# ", " * "), f"Some text.\n\n{text}\nMore."):
+            assert ids(way) == every or "* " in way and set(ids(way)) <= set(every)
+        assert license_scans.licenses(ids(text)) == names and any(len(rule) == len(every) for name, rule in license_scans.RULES if name == names[0])
+    assert ids(APACHE.replace("\n\n", "\n")) == ids(" ".join(APACHE.split())) == apache
+    for wording in license_scans._IDS:
+        assert ids(wording) == [license_scans._IDS[wording]]
+
+
+def test_spdx_expressions():
+    of = lambda t: license_scans.licenses([i for _, i in license_scans.sentence_ids(t)])
+    assert of("// SPDX-License-Identifier: MIT OR Apache-2.0\n") == ["MIT", "Apache-2.0"]
+    assert of("SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR GPL-2.0-only WITH Classpath-exception-2.0 */") == ["MIT", "BSD-3-Clause", "GPL-2.0-only WITH Classpath-exception-2.0"]
+    assert of("SPDX-License-Identifier: MIT or not. SPDX-License-Identifier: ISC.") == ["MIT", "ISC"]
+
+
 def test_kneser_ney_is_a_distribution():
     words = ["ab", "abc", "ba", "cab", "bb", "a"]
     m = language_id.train(words, np.array([[3, 0], [1, 1], [2, 5], [1, 0], [0, 2], [4, 4]], float))
