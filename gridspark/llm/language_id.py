@@ -7,9 +7,10 @@ the sorted hashes of the contexts with each language's back-off weight.  A text'
 over all its symbols; the lowest names the language.  Each worker scores a word once while its cache holds it.
 
 Training: labelled documents whose crc32(doc_id as text) mod 4 is not 2, at most about ``PER_LANGUAGE`` whole texts a
-language, chosen by a hash of doc_id (a bounded sample of labelled rows).  Rejection is calibrated on the same sample:
-a text goes when its cross-entropy lies more than ``SLACK`` times as far above its language's mean as any of the
-sample's texts, measured in standard errors of its own length.
+language, chosen by a hash of doc_id (a bounded sample of labelled rows).  Rejection is calibrated on all other labelled
+rows that aren't held out, by aggregation: a text goes when its cross-entropy lies more than ``SLACK`` times as far above
+its language's mean as the texts at quantile ``LEVEL``, measured in standard errors of its own length.  Languages with
+fewer than ``PER_LANGUAGE`` such rows count the sample's texts too.
 
 Defined results: ``und`` with score 0 where text is null or has no letter; ties go to the language that sorts first;
 without any training row everything is ``und``; rows with null doc_id are never held out; repeated rows are judged row
@@ -23,16 +24,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, map_batches, mix64
+from .common import CACHE_ENTRIES, cut, map_batches, mix64
 
 ORDER = 4
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 400
 SLACK = 1.5
+#: Quantile of the excess, one text in PER_LANGUAGE above it, and the accuracy of its mergeable sketch.
+LEVEL, SKETCH = 1 - 1 / PER_LANGUAGE, 100_000
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -243,21 +247,25 @@ def fit(docs: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAGE) -
     np.add.at(counts, (word_of.indices.to_numpy(), [column[x] for x in table.column("lang").to_pylist()]), table.column("n").to_numpy())
     model = train(word_of.dictionary.to_pylist(), counts, order, languages)
 
-    # calibration: means and spreads of the sample's own texts
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # calibration: means and spreads of the rows that the model hasn't seen
+    sent, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def entropy(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ll, m = Judge(sent.value).totals(batch.column("text").to_pylist())
+        ll, m = worker_judge(key, sent).totals(batch.column("text").to_pylist())
         best = ll.argmax(axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(best, pa.int32()), pa.array(-ll[np.arange(len(ll)), best] / np.maximum(m, 1)), pa.array(m)], names=["k", "ce", "m"])
+        return pa.RecordBatch.from_arrays([batch.column("seen"), pa.array(best, pa.int32()), pa.array(-ll[np.arange(len(ll)), best] / np.maximum(m, 1)), pa.array(m)], names=["seen", "k", "ce", "m"])
 
-    got = map_batches(sample, entropy, "k int, ce double, m double").where("m > 0").toArrow()
-    k, ce, m = (got.column(c).to_numpy() for c in ("k", "ce", "m"))
+    judged = cut(map_batches(rows.select("text", (hashed < share).alias("seen")), entropy, "seen boolean, k int, ce double, m double").where("m > 0"), "language-entropy")
+    unseen = {r.k: r["count"] for r in judged.where("not seen").groupBy("k").count().collect()}
+    enough = [i for i in range(len(languages)) if unseen.get(i, 0) >= per_language]
+    told = judged.where(~F.col("seen") | ~F.col("k").isin(enough)) if enough else judged
     model.mean, model.limit = np.zeros(len(languages)), np.full(len(languages), np.inf)
-    for i in range(len(languages)):
-        if (own := k == i).any():
-            model.mean[i] = (ce[own] * m[own]).sum() / m[own].sum()
-            model.limit[i] = SLACK * max(((ce[own] - model.mean[i]) * np.sqrt(m[own])).max(), 1.0)
+    for r in told.groupBy("k").agg((F.sum(F.col("ce") * F.col("m")) / F.sum("m")).alias("mean")).collect():
+        model.mean[r.k] = r.mean
+    mean = F.element_at(F.array(*map(F.lit, model.mean.tolist())), F.col("k") + 1)
+    excess = (F.col("ce") - mean) * F.sqrt("m")
+    for r in told.groupBy("k").agg(F.percentile_approx(excess, LEVEL, SKETCH).alias("high")).collect():
+        model.limit[r.k] = SLACK * max(r.high, 1.0)
     sample.unpersist()
     return model
 
@@ -265,6 +273,14 @@ def fit(docs: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAGE) -
 _judges: dict[str, Judge] = {}
 
 
+def worker_judge(key: str, sent: Broadcast) -> Judge:
+    """The worker's one judge of a broadcast model."""
+    if (judge := _judges.get(key)) is None:
+        _judges.clear()
+        judge = _judges[key] = Judge(sent.value)
+    return judge
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred, lang_score and rejected beside its columns; clashing names are replaced."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "rejected")]
@@ -272,9 +288,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     sent, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if (judge := _judges.get(key)) is None:
-            _judges.clear()
-            judge = _judges[key] = Judge(sent.value)
+        judge = worker_judge(key, sent)
         best, score, rejected = judge.judge([t or "" for t in batch.column("text").to_pylist()])
         names = [*judge.model.languages, "und"]
         columns = [pa.array([names[i] for i in best], pa.string()), pa.array(score, pa.float64()), pa.array(rejected)]
