@@ -36,6 +36,36 @@ def test_mercator_tiles(spark, zoom, n):
     assert G.mercator_tiles(spark, zoom).count() == n
 
 
+def test_points_off_the_grid_have_no_tile(spark):
+    ids = lambda x, y, width, offset=0: spark.range(1).select(G.tile_id(*G.tile_origin(F.lit(float(x)), F.lit(float(y)), width, offset))).first()[0]
+    assert ids(-180, 90, 10) == "90N_180W" and ids(179.9, -79.9, 10) == "70S_170E" and ids(179.9, -89.9, 10) == "80S_170E"
+    assert ids(180, 0, 10) is None and ids(0, -90, 10) is None and ids(-180.5, 0, 10) is None and ids(0, 90.5, 10) is None
+    assert ids(0, 89, 8, 4) is None and ids(0, 84, 8, 4) == "84N_004W"
+
+
+def test_ids_of_high_zooms(spark):
+    tiles = G.mercator_tiles(spark, 18)
+    n = G.CATALOGUE["zoom_18"].tiles_x
+    assert n == 1024 and tiles.select("tile_id").distinct().count() == n * n
+    box = G.mercator_tile_box(F.col("tile_id"), 18)
+    row = tiles.where("row = 1023 and col = 1000").select("tile_id", *(c.alias(x) for c, x in zip(box, "lbrt", strict=True))).first()
+    side = 2 * G.HALF_WORLD / n
+    assert row.tile_id == "1023R_1000C" and abs(row.b + G.HALF_WORLD) < 1e-6 and abs(row.l - (1000 * side - G.HALF_WORLD)) < 1e-6
+
+
+def test_projections_invert_and_end_at_the_world(spark):
+    at = spark.createDataFrame([(-179.5, -80.25), (0.0, 0.0), (12.75, 66.5)], "x double, y double")
+    back = at.select("x", "y", G.longitude(G.mercator_x(F.col("x"))).alias("a"), G.latitude(G.mercator_y(F.col("y"))).alias("b")).collect()
+    assert all(abs(r.x - r.a) < 1e-9 and abs(r.y - r.b) < 1e-9 for r in back)
+    box = lambda *v, s="EPSG:4326", t="EPSG:3857": tuple(spark.range(1).select(*G.reprojected(*(F.lit(float(x)) for x in v), s, t)).first())
+    whole = box(-180, -90, 180, 90)
+    assert all(abs(abs(v) - G.HALF_WORLD) < 1e-2 for v in whole)
+    assert all(abs(a - b) < 1e-6 for a, b in zip(box(*whole, s="EPSG:3857", t="EPSG:4326"), (-180, -G.MERCATOR_LAT, 180, G.MERCATOR_LAT), strict=True))
+    assert box(1, 2, 3, 4, t="EPSG:4326") == (1, 2, 3, 4)
+    with pytest.raises(ValueError):
+        box(1, 2, 3, 4, t="EPSG:9999")
+
+
 def test_snapping(spark):
     at = lambda lng, lat: tuple(round(v, 6) for v in spark.range(1).select(G.snapped(F.lit(lng), 0.00025, False), G.snapped(F.lit(lat), 0.00025, True)).first())
     assert at(10.111, 9.777) == (10.111, 9.777)
