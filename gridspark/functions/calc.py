@@ -1,5 +1,6 @@
 """Map algebra: a whitelisted expression over bands A, B, ... compiled to Columns.
 
+``&``, ``|``, ``^`` and ``~`` are bitwise on whole numbers and logical on comparisons, as in NumPy; ``not`` is logical.
 Masked pixels are NULL and stay so.  Division, floor division and remainder by zero, and logarithms and roots outside
 their domain, mask the pixel.  Comparisons count as 0 or 1 in arithmetic.  No text is ever executed.
 """
@@ -74,16 +75,20 @@ class _Compiler(ast.NodeVisitor):
                 return -self.value(node.operand), False
             case ast.UAdd():
                 return self.value(node.operand), False
-            case ast.Invert() | ast.Not():
+            case ast.Not():
                 return ~self.truth(node.operand), True
+            case ast.Invert():
+                c, boolean = self.visit(node.operand)
+                return (~c, True) if boolean else (F.bitwise_not(self.whole(c)), False)
         self.fail(node)
 
     def visit_BinOp(self, node):
-        if isinstance(node.op, (ast.BitAnd, ast.BitOr)):
-            a, b = self.truth(node.left), self.truth(node.right)
-            # a masked operand masks the result
-            both = a & b if isinstance(node.op, ast.BitAnd) else a | b
-            return F.when(a.isNotNull() & b.isNotNull(), both), True
+        if isinstance(node.op, (ast.BitAnd, ast.BitOr, ast.BitXor)):
+            (a, first), (b, second) = self.visit(node.left), self.visit(node.right)
+            if first and second:
+                return self.logical(a, b, node.op), True
+            a, b = self.whole(_number(a, first)), self.whole(_number(b, second))
+            return a.bitwiseAND(b) if isinstance(node.op, ast.BitAnd) else a.bitwiseOR(b) if isinstance(node.op, ast.BitOr) else a.bitwiseXOR(b), False
         a, b = self.value(node.left), self.value(node.right)
         match node.op:
             case ast.Add():
@@ -102,6 +107,17 @@ class _Compiler(ast.NodeVisitor):
                 return F.pow(a, b), False
         self.fail(node)
 
+    @staticmethod
+    def whole(c: Column) -> Column:
+        """For bits: a number that must be whole (one with a fraction is an error, as in NumPy)."""
+        return F.when(c == F.floor(c), c.cast("long")).when(c.isNotNull(), F.raise_error(F.concat(F.lit("bits of a number that is not whole: "), c.cast("string"))).cast("long"))
+
+    @staticmethod
+    def logical(a: Column, b: Column, op: ast.operator) -> Column:
+        """A masked operand masks the result."""
+        both = a & b if isinstance(op, ast.BitAnd) else a | b if isinstance(op, ast.BitOr) else a != b
+        return F.when(a.isNotNull() & b.isNotNull(), both)
+
     def visit_Compare(self, node):
         ops = {ast.Gt: "__gt__", ast.GtE: "__ge__", ast.Lt: "__lt__", ast.LtE: "__le__", ast.Eq: "__eq__", ast.NotEq: "__ne__"}
         if len(node.ops) != 1 or type(node.ops[0]) not in ops:
@@ -131,7 +147,7 @@ class _Compiler(ast.NodeVisitor):
         if name == "isnan" and len(args) == 1:
             return F.isnan(self.value(args[0]).cast("double")), True
         if name in ("logical_and", "logical_or") and len(args) == 2:
-            return self.visit(ast.BinOp(args[0], ast.BitAnd() if name == "logical_and" else ast.BitOr(), args[1]))
+            return self.logical(self.truth(args[0]), self.truth(args[1]), ast.BitAnd() if name == "logical_and" else ast.BitOr()), True
         if name == "logical_not" and len(args) == 1:
             return ~self.truth(args[0]), True
         if name == "masked_where" and len(args) == 2:
@@ -148,6 +164,11 @@ def compile_calc(text: str, bands: Mapping[str, Column]) -> list[Column]:
     return [compiler.value(x) for x in (body.elts if isinstance(body, (ast.List, ast.Tuple)) else [body])]
 
 
+def vector_calc(text: str | None, field: str) -> Column:
+    """A vector layer's value: an SQL expression over the feature's columns, or the field itself, whatever its name."""
+    return F.expr(text) if text else F.col("`" + field.replace("`", "``") + "`")
+
+
 def fill_cast(value: Column, no_data: float | None, dtype: str) -> Column:
     """Masked pixels become no_data (if any), and numbers wrap into the type as C integers do."""
     _, bits, signed = DTYPES[dtype.lower()]

@@ -10,7 +10,7 @@ def run(spark, text, rows, names="A double, B double"):
     return [tuple(r) for r in df.select(*(c.alias(f"v{i}") for i, c in enumerate(out))).collect()]
 
 
-@pytest.mark.parametrize("text, want", [("A+1", 1), ("A+1*5", 5), ("A*5+1", 1), ("1*(A>(-5.57))", 1), ("-A + B", 2), ("A//B", 0), ("B%2", 0), ("np.where(A>0, A, B)", 2), ("np.maximum(A, B)", 2), ("np.clip(B, 0, 1)", 1), ("(A==0)&(B==2)", 1)])
+@pytest.mark.parametrize("text, want", [("A+1", 1), ("A+1*5", 5), ("A*5+1", 1), ("1*(A>(-5.57))", 1), ("-A + B", 2), ("A//B", 0), ("B%2", 0), ("np.where(A>0, A, B)", 2), ("np.maximum(A, B)", 2), ("np.clip(B, 0, 1)", 1), ("(A==0)&(B==2)", 1), ("(A + 6) & 3", 2), ("(A + 6) | 8", 14), ("(A + 6) ^ 3", 5), ("~(A + 6)", -7), ("~(A > 0)", 1), ("1*(B & 3)", 2), ("np.logical_and(B, B)", 1)])
 def test_expressions(spark, text, want):
     assert run(spark, text, [(0.0, 2.0)])[0][0] == want
 
@@ -20,6 +20,12 @@ def test_masks_propagate(spark):
         assert run(spark, text, [(None, 3.0)])[0][0] is None
 
 
+def test_bits_need_whole_numbers(spark):
+    assert run(spark, "A & 1", [(None, 3.0)])[0][0] is None
+    with pytest.raises(Exception, match="not whole"):
+        run(spark, "A & 1", [(0.5, 3.0)])
+
+
 def test_several_bands(spark):
     assert run(spark, "np.ma.array([A+B, A*B, A-B])", [(2.0, 3.0)]) == [(5.0, 6.0, -1.0)]
 
