@@ -42,12 +42,24 @@ def to_bool(text: Column) -> Column:
     return F.when(low.isin("true", "yes", "1"), True).when(low.isin("false", "no", "0"), False).otherwise(F.raise_error(F.concat(F.lit("no truth value: "), text)).cast("boolean"))
 
 
-def blocks_in_memory(memory: Column, divisor: int, block_bytes: int) -> Column:
+def blocks_in_memory(memory: Column, divisor: Column | int, block_bytes: Column | int) -> Column:
     """How many blocks, as a square, a worker holds at once; at least one."""
     side = F.floor(F.sqrt(memory / (divisor * block_bytes)))
     return F.greatest(F.lit(1), side * side)
 
 
+def chunk_divisor(divisor: Column, floats: Column, doubles: Column, bands: Column, workers: Column, has_calc: Column) -> Column:
+    """The share of a worker's memory that a chunk may take: doubled for floats and again for doubles, times bands and co-workers, squared for a calculation."""
+    out = divisor * F.when(doubles, 4).when(floats, 2).otherwise(1) * bands * F.when(workers >= 2, workers).otherwise(1)
+    return F.when(has_calc, out * out).otherwise(out)
+
+
+def vsi_key(path: Column) -> Column:
+    """A prefixed path without its first three parts (the empty one, the prefix and the bucket)."""
+    parts = F.split(path, "/")
+    return F.array_join(F.slice(parts, F.lit(4), F.greatest(F.size(parts) - 3, F.lit(0))), "/")
+
+
 def dense_index(column: str) -> Column:
     """Place among distinct values of a small table."""
     return F.dense_rank().over(Window.orderBy(column)).cast("int")
@@ -55,7 +67,8 @@ def dense_index(column: str) -> Column:
 
 def ranked(df: DataFrame, *order: str) -> DataFrame:
     """A global place by ranges: each range is numbered alone, and moved by the sizes of the ranges before it."""
-    spread = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    # a number of partitions keeps Spark from merging them differently in the two branches
+    spread = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
     numbered = spread.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     before = numbered.groupBy("_part").agg(F.count("*").alias("_size")).withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return numbered.join(before, "_part").select(*df.columns, (F.col("_n") + F.col("_before")).cast("int").alias("place"))

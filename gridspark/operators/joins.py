@@ -24,12 +24,14 @@ def box_join(left: DataFrame, right: DataFrame, size: float, touching: bool = Fa
     """Rows of left (alias a) and right (alias b), both with l, b, r, t, whose boxes meet, once a pair.
 
     A pair meets in several cells; the one that holds the lower left corner of the common box reports it.
-    how: inner, or left_semi.
+    how: inner, or left_semi (rows of left with any partner; equal rows stay as often as they are there).
     """
+    if how == "left_semi":
+        # partners are looked for by cell and box; each different box of left once, so that its rows need no key of their own
+        box = ["l", "b", "r", "t"]
+        met = _cells(left.select(box).distinct(), size).alias("a").join(_cells(right.select(box), size).alias("b"), (F.col("a._cx") == F.col("b._cx")) & (F.col("a._cy") == F.col("b._cy")) & overlaps("a", "b", touching), "left_semi").select(box).distinct()
+        return left.join(met, box, "left_semi").select(left.columns)
     a, b = _cells(left, size).alias("a"), _cells(right, size).alias("b")
     same = (F.col("a._cx") == F.col("b._cx")) & (F.col("a._cy") == F.col("b._cy"))
-    if how == "left_semi":
-        keys = left.columns
-        return a.join(b, same & overlaps("a", "b", touching), "left_semi").select(keys).distinct()
     first = (F.col("a._cx") == F.floor(F.greatest("a.l", "b.l") / size)) & (F.col("a._cy") == F.floor(F.greatest("a.b", "b.b") / size))
     return a.join(b, same & overlaps("a", "b", touching) & first, how).drop("_cx", "_cy")

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import box_join
 
+#: What is left of the values that are burned into a pixel one after another, by their order.
+BURN = {"count": lambda _: F.count("*"), "asc": F.max, "none": F.max, "desc": F.min}
+
 
 def tiles_with_features(tiles: DataFrame, features: DataFrame, size: float = 10.0) -> DataFrame:
     """Tiles that any feature meets, shared edges included."""
@@ -34,49 +39,136 @@ def burn_boxes(boxes: DataFrame, res: float = 1.0) -> DataFrame:
 
 def rasterize(boxes: DataFrame, how: str, value: str = "v", res: float = 1.0) -> DataFrame:
     """count: how many features; value: the last burned in ascending (asc, none) or descending (desc) order of value."""
-    burn = {"count": F.count("*"), "asc": F.max(value), "none": F.max(value), "desc": F.min(value)}
-    if how not in burn:
+    if how not in BURN:
         raise ValueError(f"no order {how}")
-    return burn_boxes(boxes, res).groupBy("px", "py").agg(burn[how].alias(value if how != "count" else "n"))
-
-
-def burn_rings(rings: DataFrame, res: float = 1.0) -> DataFrame:
-    """(fid, px, py) of the pixel centres inside each ring(fid, ring array<struct<x,y>>), by even-odd scan lines."""
+    return burn_boxes(boxes, res).groupBy("px", "py").agg(BURN[how](value).alias(value if how != "count" else "n"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for fid, ring in zip(frame.fid, frame.ring, strict=True):
-                p = np.array([(v["x"], v["y"]) for v in ring], float) / res
-                if len(p) < 3:
-                    continue
-                a, b = p, np.roll(p, -1, axis=0)
-                for row in range(int(np.ceil(p[:, 1].min() - 0.5)), int(np.ceil(p[:, 1].max() - 0.5))):
-                    y = row + 0.5
-                    cross = (a[:, 1] <= y) != (b[:, 1] <= y)
-                    x = np.sort(a[cross, 0] + (y - a[cross, 1]) / (b[cross, 1] - a[cross, 1]) * (b[cross, 0] - a[cross, 0]))
-                    out += [(fid, c, row) for i in range(0, len(x) - 1, 2) for c in range(int(np.ceil(x[i] - 0.5)), int(np.ceil(x[i + 1] - 0.5)))]
-            yield pd.DataFrame(out, columns=["fid", "px", "py"]).astype("int64")
 
-    return rings.mapInPandas(run, "fid long, px long, py long")
+RINGS = "array<array<struct<x:double,y:double>>>"
 
 
-def clip_ring(ring: list[tuple[float, float]], box: tuple[float, float, float, float]) -> list[tuple[float, float]]:
-    """A ring cut to a box (l, b, r, t), one edge after another."""
+def cut_ring(ring: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
+    """A ring (n x 2, its end not repeated) cut to a box (l, b, r, t), one edge after another."""
     for axis, bound, sign in ((0, box[0], 1), (1, box[1], 1), (0, box[2], -1), (1, box[3], -1)):
-        out = []
-        for i, p in enumerate(ring):
-            q = ring[i - 1]
-            p_in, q_in = sign * (p[axis] - bound) >= 0, sign * (q[axis] - bound) >= 0
-            if p_in != q_in:
-                f = (bound - q[axis]) / (p[axis] - q[axis])
-                out.append(tuple(bound if k == axis else q[k] + f * (p[k] - q[k]) for k in (0, 1)))
-            if p_in:
-                out.append(p)
-        ring = out
+        if not len(ring):
+            break
+        before = np.roll(ring, 1, axis=0)
+        inside, was = sign * (ring[:, axis] - bound) >= 0, sign * (before[:, axis] - bound) >= 0
+        crosses = inside != was
+        with np.errstate(divide="ignore", invalid="ignore"):
+            share = (bound - before[:, axis]) / (ring[:, axis] - before[:, axis])
+        point = before + np.where(crosses, share, 0)[:, None] * (ring - before)
+        point[:, axis] = bound
+        # where the edge to a corner crosses the bound, the crossing comes before the corner
+        both = np.stack([point, ring], axis=1).reshape(-1, 2)
+        ring = both[np.stack([crosses, inside], axis=1).ravel()]
     return ring
 
 
+def ring_area(ring: np.ndarray) -> float:
+    """Twice-summed cross products, halved; positive whichever way the ring runs."""
+    x, y = ring[:, 0], ring[:, 1]
+    return abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1)))) / 2
+
+
+def rings_of(column: pa.ListArray) -> list[list[np.ndarray]]:
+    """The polygons of an Arrow batch as rings of points, without the repeated last one."""
+    inner = column.flatten()
+    points = inner.flatten()
+    xy = np.column_stack([points.field(0).to_numpy(zero_copy_only=False), points.field(1).to_numpy(zero_copy_only=False)])
+    size = pc.fill_null(pc.list_value_length(inner), 0).to_numpy(zero_copy_only=False)
+    rings = np.split(xy, np.cumsum(size)[:-1]) if len(size) else []
+    rings = [p[:-1] if len(p) > 1 and (p[0] == p[-1]).all() else p for p in rings]
+    count = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(count)
+    return [rings[e - n : e] for e, n in zip(ends.tolist(), count.tolist(), strict=True)]
+
+
+def polygons_clipped(tiles: DataFrame, features: DataFrame, size: float = 10.0) -> DataFrame:
+    """Polygons of features(.., rings, l, b, r, t) cut to the tiles that they meet, with rings and area; what has no area is dropped.
+
+    rings: outer rings and holes of a polygon or of several, by the even-odd rule.  A hole lies inside its outer ring.
+    """
+    rest = [c for c in features.columns if c not in ("rings", "l", "b", "r", "t")]
+    pairs = box_join(tiles, features, size, touching=True).select("a.tile_id", *(F.col(f"b.{c}") for c in rest), F.col("b.rings").cast(RINGS).alias("rings"), *(F.col(f"a.{c}").alias(f"_{c}") for c in ("l", "b", "r", "t")))
+    kept = ["tile_id", *rest]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+        for batch in batches:
+            boxes = zip(*(batch.column(f"_{c}").to_pylist() for c in ("l", "b", "r", "t")), strict=True)
+            cut, area = [], []
+            for rings, box in zip(rings_of(batch.column("rings")), boxes, strict=True):
+                parts = [p for p in (cut_ring(r, box) for r in rings) if len(p) > 2]
+                # a ring inside an odd number of others is a hole
+                signs = [(-1) ** sum(inside(p, q) for q in parts if q is not p) for p in parts]
+                area.append(sum(s * ring_area(p) for s, p in zip(signs, parts, strict=True)))
+                cut.append([[{"x": x, "y": y} for x, y in np.vstack([p, p[:1]]).tolist()] for p in parts])
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(cut, kind), pa.array(area, pa.float64())], names=[*kept, "rings", "area"])
+            yield out.filter(pa.array(np.array(area) > 0, pa.bool_()))
+
+    fields = T.StructType([*pairs.select(kept).schema.fields, *T.StructType.fromDDL(f"rings {RINGS}, area double")])
+    return pairs.mapInArrow(run, fields)
+
+
+def crossings(ring: np.ndarray, y: float) -> np.ndarray:
+    """Where a ring crosses a horizontal line, from left to right."""
+    a, b = ring, np.roll(ring, -1, axis=0)
+    over = (a[:, 1] <= y) != (b[:, 1] <= y)
+    return np.sort(a[over, 0] + (y - a[over, 1]) / (b[over, 1] - a[over, 1]) * (b[over, 0] - a[over, 0]))
+
+
+def inside(ring: np.ndarray, other: np.ndarray) -> bool:
+    """Whether a ring lies in another one that it does not cross."""
+    if ring_area(ring) >= ring_area(other):
+        return False
+    y = (ring[:, 1].min() + ring[:, 1].max()) / 2
+    x = crossings(ring, y)
+    return len(x) > 1 and bool((crossings(other, y) > (x[0] + x[1]) / 2).sum() % 2)
+
+
+def burn_polygons(polygons: DataFrame, res: float = 1.0) -> DataFrame:
+    """The columns of polygons(.., rings) but rings, with (px, py) of each pixel whose centre lies inside by the even-odd rule.
+
+    Scan lines give runs of pixels; Spark makes the pixels of the runs.
+    """
+    kept = [c for c in polygons.columns if c != "rings"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, rows, low, high = [], [], [], []
+            for k, rings in enumerate(rings_of(batch.column("rings"))):
+                a = np.vstack([np.zeros((0, 2)), *rings]) / res
+                b = np.vstack([np.zeros((0, 2)), *(np.roll(r, -1, axis=0) for r in rings)]) / res
+                # every edge crosses the scan lines between its ends
+                first, last = (np.ceil(f(a[:, 1], b[:, 1]) - 0.5).astype(np.int64) for f in (np.minimum, np.maximum))
+                edge = np.repeat(np.arange(len(a)), last - first)
+                row = np.arange(len(edge)) - np.repeat(np.cumsum(last - first) - (last - first) - first, last - first)
+                x = a[edge, 0] + (row + 0.5 - a[edge, 1]) / (b[edge, 1] - a[edge, 1]) * (b[edge, 0] - a[edge, 0])
+                order = np.lexsort((x, row))
+                x, row = np.ceil(x[order] - 0.5).astype(np.int64).reshape(-1, 2), row[order].reshape(-1, 2)[:, 0]
+                some = x[:, 0] < x[:, 1]
+                of.append(np.full(some.sum(), k))
+                rows.append(row[some])
+                low.append(x[some, 0])
+                high.append(x[some, 1] - 1)
+            of = np.concatenate([np.zeros(0, np.int64), *of]).astype(np.int64)
+            out = [batch.column(c).take(pa.array(of)) for c in kept] + [pa.array(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64)) for x in (rows, low, high)]
+            yield pa.RecordBatch.from_arrays(out, names=[*kept, "py", "_low", "_high"])
+
+    cast = polygons.select(*kept, F.col("rings").cast(RINGS).alias("rings"))
+    fields = T.StructType([*cast.select(kept).schema.fields, *T.StructType.fromDDL("py long, _low long, _high long")])
+    return cast.mapInArrow(run, fields).select(*kept, F.explode(F.sequence("_low", "_high")).alias("px"), "py")
+
+
+def polygons_rasterized(polygons: DataFrame, how: str, value: str = "v", res: float = 1.0, start: float | None = None) -> DataFrame:
+    """count: how many polygons cover a pixel (on top of start); value: the last burned in order of value."""
+    if how not in BURN:
+        raise ValueError(f"no order {how}")
+    out = burn_polygons(polygons.select("rings", *([value] if how != "count" else [])), res).groupBy("px", "py").agg(BURN[how](value).alias(value if how != "count" else "n"))
+    return out if how != "count" or not start else out.withColumn("n", F.col("n") + start)
+
+
 def ring_column(l: Column, b: Column, r: Column, t: Column) -> Column:  # noqa: E741
     """A box as a closed ring."""
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,10 +39,53 @@ def tiles10(spark: SparkSession) -> DataFrame:
     return latlng_tiles(spark, 10).withColumn("tile_id", tile_id(F.col("left"), F.col("top"))).selectExpr("tile_id", "left", "top", "cast(left as double) as l", "cast(top-10 as double) as b", "cast(left+10 as double) as r", "cast(top as double) as t")
 
 
+def feature_of(text: Column) -> Column:
+    """(name, rings) of a GeoJSON feature: the rings of a polygon, or of all polygons of several, outer ones and holes."""
+    f = F.from_json(text, "properties struct<name:string>, geometry struct<type:string,coordinates:string>")
+    one = F.from_json(f["geometry"]["coordinates"], "array<array<array<double>>>")
+    several = F.flatten(F.from_json(f["geometry"]["coordinates"], "array<array<array<array<double>>>>"))
+    rings = F.when(f["geometry"]["type"] == "Polygon", one).when(f["geometry"]["type"] == "MultiPolygon", several)
+    points = F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
+    return F.struct(f["properties"]["name"].alias("name"), points.alias("rings"))
+
+
 def geojson_features(spark: SparkSession, path: str) -> DataFrame:
-    """(name, ring) of a FeatureCollection's features."""
-    schema = "features array<struct<properties:struct<name:string>,geometry:struct<type:string,coordinates:array<array<array<double>>>>>>"
-    return spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("f")).select("f.properties.name", F.col("f.geometry.coordinates")[0].alias("ring"))
+    """(name, rings) of a FeatureCollection's features; a feature that is no polygon has null rings."""
+    texts = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "features array<string>")["features"]).alias("f"))
+    return texts.select(feature_of(F.col("f")).alias("f")).select("f.*")
+
+
+def vector_table(spark: SparkSession, url: str, name: str, bounds: tuple[str, int, int, int] | None = None) -> DataFrame:
+    """A table of features over JDBC; bounds: a whole-number column, its range, and how many tasks read it side by side.
+
+    Credentials come from the session's own configuration of the source, not from here.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
+    if bounds:
+        column, low, high, tasks = bounds
+        reader = reader.option("partitionColumn", column).option("lowerBound", low).option("upperBound", high).option("numPartitions", tasks)
+    return reader.load()
+
+
+def dsn(host: str, port: int, database: str) -> str:
+    """The address of a database for vector_table."""
+    return f"jdbc:postgresql://{host}:{port}/{database}"
+
+
+def job_catalogue(spark: SparkSession, listed: dict) -> DataFrame:
+    """(layer, field, grid, type, uri, depends_on, calc, resampling, order, rasterize_method) of a nested catalogue, as a YAML or JSON parser gives it.
+
+    listed: layer -> field -> settings with grids: grid -> settings.  A job's own settings come before its field's.
+    """
+    names = ("type", "uri", "depends_on", "calc", "resampling", "order", "rasterize_method")
+    text = lambda x: None if x is None else ",".join(map(str, x)) if isinstance(x, (list, tuple)) else str(x)
+    rows = []
+    for layer, attributes in listed.items():
+        for attribute, settings in attributes.items():
+            for grid, own in (settings.get("grids") or {}).items():
+                both = settings | (own or {})
+                rows.append((layer, attribute, grid, *(text(both.get(k)) for k in names)))
+    return spark.createDataFrame(rows, "layer string, field string, grid string, " + ", ".join(f"`{k}` string" for k in names))
 
 
 def listing(spark: SparkSession, path: str, suffix: str = ".tif") -> DataFrame:
