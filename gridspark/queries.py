@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import scalars as S
-from .functions.calc import DTYPES, band_names, compile_calc, fill_cast
-from .functions.grids import HALF_WORLD, grids_table, latlng_tiles, mercator_tiles, mercator_x, mercator_y, snapped, tile_corner, tile_id, tile_origin
+from .functions.calc import DTYPES, band_names, compile_calc, fill_cast, vector_calc
+from .functions.grids import HALF_WORLD, MERCATOR_LAT, block_windows, grids_table, latitude, longitude, mercator_tile_box, mercator_tiles, mercator_x, mercator_y, pixel_window, reprojected, snapped, tile_box, tile_corner, tile_id, tile_origin
 from .operators import catalog, raster, vector
 from .operators.joins import box_join
-from .plans.layer import VERSION, status
+from .plans.layer import VERSION, LayerSpec, profile, run, status, tile_path
 from .sources import views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,9 +96,10 @@ def q_xy_to_tile(spark, sf):
     return with_tile(V.points(spark, sf)).select("event_id", "left_i", "top_i")
 
 
-@query("select event_id, (floor((x+4)/8)*8-4)::int as left_i, (ceil((y+4)/8)*8-4)::int as top_i from points where abs(y) < 82", "points")
+@query("select event_id, case when there then l else -999 end as left_i, case when there then t else -999 end as top_i from (select *, l between -180 and 172 and t between -82 and 90 as there from (select event_id, (floor((x+4)/8)*8-4)::int as l, (ceil((y+4)/8)*8-4)::int as t from points))", "points")
 def q_xy_to_tile_offset(spark, sf):
-    return with_tile(V.points(spark, sf).where("abs(y) < 82"), 8, 4).select("event_id", "left_i", "top_i")
+    off = lambda c: F.coalesce(c, F.lit(-999)).alias(c)  # noqa: E731  points whose tile would reach beyond the earth have none
+    return with_tile(V.points(spark, sf), 8, 4).select("event_id", off("left_i"), off("top_i"))
 
 
 @query(f"select event_id, {ID10} as tile_id from points", "points")
@@ -114,19 +115,22 @@ def q_tile_id_parse(spark, sf):
 
 @query("select tile_id, l, b, r, t from tiles10", "tiles10")
 def q_tile_bounds(spark, sf):
-    left, top = tile_corner(C("tile_id"))
-    return V.tiles10(spark).select("tile_id", left.cast("double").alias("l"), (top - 10).cast("double").alias("b"), (left + 10).cast("double").alias("r"), top.cast("double").alias("t"))
+    return V.tiles10(spark).select("tile_id", *(c.alias(n) for c, n in zip(tile_box(C("tile_id"), 10), "lbrt", strict=True)))
+
 
+#: Row and column names of at least three digits.
+WM_ID = "lpad(r::varchar,greatest(3,length(r::varchar))::int,'0')||'R_'||lpad(c::varchar,greatest(3,length(c::varchar))::int,'0')||'C'"
 
-@query("select r::int as row, c::int as col, lpad(r::varchar,3,'0')||'R_'||lpad(c::varchar,3,'0')||'C' as tile_id from range(64) a(r), range(64) b(c)")
+
+@query(f"select r::int as row, c::int as col, {WM_ID} as tile_id from range(1024) a(r), range(1024) b(c)")
 def q_wm_tile_enum(spark, sf):
-    return mercator_tiles(spark, 14)
+    return mercator_tiles(spark, 18)
 
 
-@query(f"select lpad(r::varchar,3,'0')||'R_'||lpad(c::varchar,3,'0')||'C' as tile_id, round(-{HALF_WORLD!r}::double+c*{HALF_WORLD / 2!r}::double, 4) as l, round({HALF_WORLD!r}::double-(r+1)*{HALF_WORLD / 2!r}::double, 4) as b from range(4) a(r), range(4) d(c)")
+@query(f"select {WM_ID} as tile_id, round(-{HALF_WORLD!r}::double+c*{HALF_WORLD / 2!r}::double, 4) as l, round({HALF_WORLD!r}::double-(r+1)*{HALF_WORLD / 2!r}::double, 4) as b from range(4) a(r), range(4) d(c)")
 def q_wm_tile_bounds(spark, sf):
-    side = HALF_WORLD / 2
-    return mercator_tiles(spark, 10).select("tile_id", F.round(C("col") * side - HALF_WORLD, 4).alias("l"), F.round(HALF_WORLD - (C("row") + 1) * side, 4).alias("b"))
+    left, bottom, _, _ = mercator_tile_box(C("tile_id"), 10)
+    return mercator_tiles(spark, 10).select("tile_id", F.round(left, 4).alias("l"), F.round(bottom, 4).alias("b"))
 
 
 @query(f"select 'zoom_'||z as name, round({2 * HALF_WORLD!r}::double/(256*pow(2, z)), 6) as res, (case when z < 8 then pow(2, z)*256 else 65536 end)::bigint as cols, 256 as block from range(23) a(z)")
@@ -145,11 +149,15 @@ def q_snap_coord(spark, sf):
     return V.points(spark, sf).select("event_id", F.round(snapped(C("x"), 0.00025, False), 6).alias("sx"), F.round(snapped(C("y"), 0.00025, True), 6).alias("sy"))
 
 
-@query("select file_id, round(radians(greatest(l,-180))*6378137.0::double, 4) as wl, round(ln(tan(pi()/4+radians(greatest(b,-85.0::double))/2))*6378137.0::double, 3) as wb, round(radians(least(r,180))*6378137.0::double, 4) as wr, round(ln(tan(pi()/4+radians(least(t,85.0::double))/2))*6378137.0::double, 3) as wt from files", "files")
+@query(f"select file_id, round(radians(greatest(l,-180))*6378137.0::double, 4) as wl, round(ln(tan(pi()/4+radians(greatest(b,-{MERCATOR_LAT}::double))/2))*6378137.0::double, 3) as wb, round(radians(least(r,180))*6378137.0::double, 4) as wr, round(ln(tan(pi()/4+radians(least(t,{MERCATOR_LAT}::double))/2))*6378137.0::double, 3) as wt from files", "files")
 def q_reproject_bounds(spark, sf):
-    x = lambda c: F.round(mercator_x(c), 4)
-    y = lambda c: F.round(mercator_y(c), 3)
-    return V.source_files(spark, sf).select("file_id", x(F.greatest("l", F.lit(-180.0))).alias("wl"), y(F.greatest("b", F.lit(-85.0))).alias("wb"), x(F.least("r", F.lit(180.0))).alias("wr"), y(F.least("t", F.lit(85.0))).alias("wt"))
+    wl, wb, wr, wt = reprojected(C("l"), C("b"), C("r"), C("t"), "EPSG:4326", "EPSG:3857")
+    return V.source_files(spark, sf).select("file_id", F.round(wl, 4).alias("wl"), F.round(wb, 3).alias("wb"), F.round(wr, 4).alias("wr"), F.round(wt, 3).alias("wt"))
+
+
+@query("select event_id, round(degrees(x*100000/6378137.0::double), 6) as lng, round(degrees(2*atan(exp(y*200000/6378137.0::double))-pi()/2), 6) as lat from points", "points")
+def q_wm_to_wgs84(spark, sf):
+    return V.points(spark, sf).select("event_id", F.round(longitude(C("x") * 100_000), 6).alias("lng"), F.round(latitude(C("y") * 200_000), 6).alias("lat"))
 
 
 @query("select file_id, p, x, y from (select file_id, unnest(range(5))::int as p, unnest([l,r,r,l,l]) as x, unnest([t,t,b,b,t]) as y from files)", "files")
@@ -170,25 +178,22 @@ def q_window_snap(spark, sf):
 
 @query("select t.tile_id, f.file_id, round_even((greatest(t.l,f.l)-t.l)/0.25::double, 0)::int as col_off, round_even((t.t-least(t.t,f.t))/0.25::double, 0)::int as row_off, round_even((least(t.r,f.r)-greatest(t.l,f.l))/0.25::double, 0)::int as width, round_even((least(t.t,f.t)-greatest(t.b,f.b))/0.25::double, 0)::int as height from tiles10 t join files f on t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b", "tiles10", "files")
 def q_intersect_window(spark, sf):
-    px = lambda c: F.bround(c / 0.25).cast("int")
-    low, high = F.greatest, F.least
-    return box_join(V.tiles10(spark), V.source_files(spark, sf), 10.0).select(
-        "a.tile_id", "b.file_id", px(low("a.l", "b.l") - C("a.l")).alias("col_off"), px(C("a.t") - high("a.t", "b.t")).alias("row_off"),
-        px(high("a.r", "b.r") - low("a.l", "b.l")).alias("width"), px(high("a.t", "b.t") - low("a.b", "b.b")).alias("height"),
-    )
+    side = lambda a: tuple(C(f"{a}.{c}") for c in "lbrt")
+    window = pixel_window(side("a"), side("b"), 0.25)
+    return box_join(V.tiles10(spark), V.source_files(spark, sf), 10.0).select("a.tile_id", "b.file_id", *(c.alias(n) for c, n in zip(window, ("col_off", "row_off", "width", "height"), strict=True)))
 
 
 @query("select fid, c::int as col_off, r::int as row_off, least(8, w-c)::int as width, least(8, h-r)::int as height from (select fid, ceil((r-l)*4)::int as w, ceil((t-b)*4)::int as h from feat), range(0, 64, 8) a(c), range(0, 64, 8) d(r) where c < w and r < h", "feat")
 def q_block_windows(spark, sf):
     sized = V.features(spark, sf).select("fid", F.ceil((C("r") - C("l")) * 4).cast("int").alias("w"), F.ceil((C("t") - C("b")) * 4).cast("int").alias("h"))
-    steps = lambda c: F.explode(F.sequence(F.lit(0), C(c) - 1, F.lit(8)))
-    at = sized.withColumn("col_off", steps("w")).withColumn("row_off", steps("h"))
-    return at.select("fid", "col_off", "row_off", F.least(F.lit(8), C("w") - C("col_off")).alias("width"), F.least(F.lit(8), C("h") - C("row_off")).alias("height"))
+    return sized.select("fid", F.explode(block_windows(C("w"), C("h"), 8)).alias("x")).select("fid", "x.*")
 
 
-@query("select n_nationkey, greatest(1, pow(floor(sqrt((n_nationkey+1)*1000000.0::double/(4*2*400*400))), 2))::bigint as blocks from nation")
+@query("select n_nationkey, greatest(1, pow(floor(sqrt((n_nationkey+1)*1000000.0::double/(d*400*400))), 2))::bigint as blocks from (select n_nationkey, case when n_nationkey%5=0 then d*d else d end as d from (select n_nationkey, 4*(case when n_nationkey%4=0 then 4 when n_nationkey%2=0 then 2 else 1 end)*(1+n_nationkey%3)*(case when n_nationkey%3=2 then 2 else 1 end) as d from nation))")
 def q_chunk_plan(spark, sf):
-    return V.table(spark, sf, "nation").select("n_nationkey", S.blocks_in_memory((C("n_nationkey") + 1) * 1_000_000.0, 4 * 2, 400 * 400).alias("blocks"))
+    n = C("n_nationkey")
+    divisor = S.chunk_divisor(F.lit(4), n % 2 == 0, n % 4 == 0, 1 + n % 3, n % 3, n % 5 == 0)
+    return V.table(spark, sf, "nation").select(n, S.blocks_in_memory((n + 1) * 1_000_000.0, divisor, 400 * 400).alias("blocks"))
 
 
 @query("select i::int as i, case when i <= 26 then chr((64+i)::int) else chr((64+(i-1)//26)::int)||chr((65+(i-1)%26)::int) end as name from range(1, 61) a(i)")
@@ -227,9 +232,15 @@ def q_fill_cast(spark, sf):
     return V.pixels(spark, sf).select("row_i", "col_i", "k", fill_cast(F.coalesce("M", F.lit(300)) * 7, None, "uint8").alias("u8"), fill_cast(C("M") * 7, 0, "int8").alias("i8"))
 
 
-@query("select fid, case when seg='BUILDING' or seg='MACHINERY' then 1 when v>12 then 3 else 2 end as v from feat", "feat")
+@query("select row_i, col_i, k, ((B & 3) + (C | 8) - (~B))::bigint as v, case when (A > 10) and not (B = 3) then 1 else 0 end as w from pixels", "pixels")
+def q_calc_bits(spark, sf):
+    return calc(spark, sf, "[(B & 3) + (C | 8) - ~B, 1*((A > 10) & ~(B == 3))]", "v", "w").drop("A")
+
+
+@query("select fid, case when seg='BUILDING' or seg='MACHINERY' then 1 when v>12 then 3 else 2 end as v, seg as plain from feat", "feat")
 def q_vector_calc_case(spark, sf):
-    return V.features(spark, sf).select("fid", F.expr("case when seg='BUILDING' or seg='MACHINERY' then 1 when v>12 then 3 else 2 end").alias("v"))
+    text = "case when seg='BUILDING' or seg='MACHINERY' then 1 when v>12 then 3 else 2 end"
+    return V.features(spark, sf).select("fid", vector_calc(text, "v").alias("v"), vector_calc(None, "seg").alias("plain"))
 
 
 # --- mosaics, stacks, blocks ------------------------------------------------------------------------------------------
@@ -245,10 +256,11 @@ def q_mosaic_last_wins(spark, sf):
     return raster.mosaic(V.pixels(spark, sf), "k", "M")
 
 
-@query("select row_i, col_i, a.A, b.B from (select row_i, col_i, max(A) as A from pixels where k%2=0 group by all) a full join (select row_i, col_i, max(B)::double as B from pixels where k%3=0 group by all) b using (row_i, col_i)", "pixels")
+@query("select row_i, col_i, a.A, b.B from (select row_i, col_i, max(A) as A from pixels where k%7<4 group by all) a full join (select row_i, col_i, max(B)::double as B from pixels where k%7>=4 group by all) b using (row_i, col_i)", "pixels")
 def q_band_stack(spark, sf):
-    p = V.pixels(spark, sf)
-    return raster.band_stack([p.where("k%2=0").groupBy("row_i", "col_i").agg(F.max("A").alias("A")), p.where("k%3=0").groupBy("row_i", "col_i").agg(F.max(C("B").cast("double")).alias("B"))])
+    # the files whose number leaves less than 4 of 7 are the first band's source, the others the second's
+    p, first = V.pixels(spark, sf), C("k") % 7 < 4
+    return raster.band_stack([p.where(first).groupBy("row_i", "col_i").agg(F.max("A").alias("A")), p.where(~first).groupBy("row_i", "col_i").agg(F.max(C("B").cast("double")).alias("B"))])
 
 
 @query("select t.tile_id, band::int as band, count(f.file_id)::bigint as n_files from tiles10 t cross join range(1, 4) g(band) left join files f on f.band_count >= band and t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b group by all", "tiles10", "files")
@@ -314,19 +326,63 @@ for _method, _sql in RESAMPLE.items():
 
 
 def _kernel_sql(weight: str, reach: int) -> str:
-    at = lambda o: f"abs({{p}} - (({o}+0.5::double)*4-0.5::double))"
+    at = lambda o: f"(abs({{p}} - (({o}+0.5::double)*4-0.5::double))/4)"
     wr, wc = weight.replace("D", at("r").replace("{p}", "row_i")), weight.replace("D", at("c").replace("{p}", "col_i"))
-    return f"select r::int as r, c::int as c, round(sum(v*w)/sum(w), 6) as v from (select r, c, v, ({wr})*({wc}) as w from ({LAST}) t, range(16) a(r), range(16) b(c) where abs(row_i-((r+0.5::double)*4-0.5::double)) <= {reach} and abs(col_i-((c+0.5::double)*4-0.5::double)) <= {reach}) where w <> 0 group by r, c having abs(sum(w)) > 1e-9"
+    near = lambda p, o: f"abs({p}-(({o}+0.5::double)*4-0.5::double)) <= {4 * reach}"
+    return f"select r::int as r, c::int as c, round(sum(v*w)/sum(w), 6) as v from (select r, c, v, ({wr})*({wc}) as w from ({LAST}) t, range(16) a(r), range(16) b(c) where {near('row_i', 'r')} and {near('col_i', 'c')}) where w <> 0 group by r, c having abs(sum(w)) > 1e-9"
+
+
+#: Kernels in SQL by the distance D in output pixels, and how far they reach.
+KERNEL_SQL = {
+    "bilinear": ("greatest(0.0::double, 1-D)", 1),
+    "cubic": ("case when D<=1 then 1.5::double*D*D*D-2.5::double*D*D+1 when D<2 then -0.5::double*D*D*D+2.5::double*D*D-4*D+2 else 0 end", 2),
+    "cubic_spline": ("case when D<=1 then 2.0::double/3-D*D+D*D*D/2 when D<2 then (2-D)*(2-D)*(2-D)/6 else 0 end", 2),
+    "lanczos": ("case when D=0 then 1 when D<3 then 3*sin(pi()*D)*sin(pi()*D/3)/(pi()*pi()*D*D) else 0 end", 3),
+}
+
+
+def _interpolate(method: str) -> None:
+    def q(spark, sf):
+        return raster.resample(one_tile(spark, sf), 4, method, "v", size=(64, 64)).select("r", "c", F.round("v", 6).alias("v"))
+
+    q.__name__ = f"q_resample_{method}"
+    query(_kernel_sql(*KERNEL_SQL[method]), "pixels")(q)
 
 
-@query(_kernel_sql("greatest(0.0::double, 1-D)", 1), "pixels")
-def q_resample_bilinear(spark, sf):
-    return raster.resample(one_tile(spark, sf), 4, "bilinear", "v").select("r", "c", F.round("v", 6).alias("v"))
+for _method in KERNEL_SQL:
+    _interpolate(_method)
 
 
-@query(_kernel_sql("case when D<=1 then 1.5::double*D*D*D-2.5::double*D*D+1 when D<2 then -0.5::double*D*D*D+2.5::double*D*D-4*D+2 else 0 end", 2), "pixels")
-def q_resample_cubic(spark, sf):
-    return raster.resample(one_tile(spark, sf), 4, "cubic", "v").select("r", "c", F.round("v", 6).alias("v"))
+# --- other rasters: 64 rows and columns become 26, of 2.5 source pixels each -------------------------------------------
+AXIS_SQL = "select o::int as o, s::int as s, least(2.5::double*(o+1), s+1)-greatest(2.5::double*o, s) as w from range(26) a(o), range(66) b(s) where least(2.5::double*(o+1), s+1)-greatest(2.5::double*o, s) > 0"
+
+
+def axes(spark, method: str) -> tuple[DataFrame, DataFrame]:
+    one = raster.axis(spark, 26, lambda k: k * 2.5, method)
+    return one, one
+
+
+def _warp(method: str, sql: str) -> None:
+    def q(spark, sf):
+        return raster.warp(one_tile(spark, sf), *axes(spark, method), method).select("r", "c", F.round("v", 6).alias("v"))
+
+    q.__name__ = f"q_warp_{method}"
+    query(sql, "pixels")(q)
+
+
+for _method, _sql in {"average": "sum(v*a.w*b.w)/sum(a.w*b.w)", "max": "max(v)", "med": "median(v)", "sum": "sum(v*a.w*b.w)"}.items():
+    _warp(_method, f"select a.o as r, b.o as c, round({_sql}, 6) as v from ({LAST}) t join ({AXIS_SQL}) a on a.s=t.row_i join ({AXIS_SQL}) b on b.s=t.col_i group by 1, 2")
+_warp("nearest", f"select a.o::int as r, b.o::int as c, round(v, 6) as v from ({LAST}) t, range(26) a(o), range(26) b(o) where t.row_i=floor(2.5::double*(a.o+0.5::double)) and t.col_i=floor(2.5::double*(b.o+0.5::double))")
+_TENT = "select o::int as o, s::int as s, 1-abs(s+0.5::double-2.5::double*(o+0.5::double))/2.5::double as w from range(26) a(o), range(-4, 70) b(s) where abs(s+0.5::double-2.5::double*(o+0.5::double)) < 2.5::double"
+_warp("bilinear", f"select a.o as r, b.o as c, round(sum(v*a.w*b.w)/sum(a.w*b.w), 6) as v from ({LAST}) t join ({_TENT}) a on a.s=t.row_i join ({_TENT}) b on b.s=t.col_i group by 1, 2")
+
+
+@query(f"select a.o::int as r, b.o::int as c, v from ({LAST}) t, range(45) a(o), range(35) b(o) where t.row_i=floor(64-degrees(2*atan(exp((9000000-200000*(a.o+0.5::double))/6378137.0::double))-pi()/2)) and t.col_i=floor(degrees(200000*(b.o+0.5::double)/6378137.0::double))", "pixels")
+def q_warp_to_wm(spark, sf):
+    # the tile's 64 rows and columns are degrees from 64 N and 0 E; the target's pixels are 200 km
+    rows = raster.axis(spark, 45, lambda k: 64 - latitude(9_000_000 - 200_000 * k), "nearest")
+    cols = raster.axis(spark, 35, lambda k: longitude(200_000 * k), "nearest")
+    return raster.warp(one_tile(spark, sf), rows, cols, "nearest")
 
 
 @query("select floor(radians(x)*6378137.0::double/1000000)::int as px, floor(ln(tan(pi()/4+radians(y)/2))*6378137.0::double/1000000)::int as py, max(value) as v from points where abs(y) < 85 group by all", "points")
@@ -347,11 +403,19 @@ def q_band_histogram(spark, sf):
     return raster.byte_histogram(V.pixels(spark, sf), "A")
 
 
-@query("select row_i as tile, '[{\"band\":\"A\",\"min\":'||min(A)::int||',\"max\":'||max(A)::int||'},{\"band\":\"B\",\"min\":'||min(B)||',\"max\":'||max(B)||'}]' as bands from pixels group by 1", "pixels")
+META = "select row_i as tile, 64 as width, 64 as height, 'EPSG:4326' as crs, '{0}' as name, '{1}' as data_type, {2}::double as no_data, {3} as nbits, 16 as block, min({0})::double as min, max({0})::double as max, round(avg({0}), 6) as mean, round(stddev_pop({0}), 6) as std_dev from pixels group by 1"
+
+
+@query(META.format("A", "float64", "0.5", "0") + " union all " + META.format("B", "uint8", "0", "8"), "pixels")
 def q_tile_metadata(spark, sf):
-    p = V.pixels(spark, sf).groupBy(C("row_i").alias("tile"))
-    band = lambda b: F.struct(F.lit(b).alias("band"), F.min(C(b).cast("int")).alias("min"), F.max(C(b).cast("int")).alias("max"))
-    return p.agg(F.to_json(F.array(band("A"), band("B"))).alias("bands"))
+    meta = raster.metadata(V.pixels(spark, sf).withColumnRenamed("row_i", "tile"), {"A": ("float64", 0.5), "B": ("uint8", 0)}, (64, 64), 16, "EPSG:4326", "tile")
+    x = meta.select("tile", "width", "height", "crs", F.explode("bands").alias("x"))
+    return x.select("tile", "width", "height", "crs", "x.name", "x.data_type", "x.no_data", F.coalesce("x.nbits", F.lit(0)).alias("nbits"), C("x.blockxsize").alias("block"), "x.stats.min", "x.stats.max", F.round("x.stats.mean", 6).alias("mean"), F.round("x.stats.std_dev", 6).alias("std_dev"))
+
+
+@query("select tile, least(greatest(floor((v+1)*16)+1, 1), 32)::bigint as bucket, count(*)::bigint as n from blocks where v is not null group by 1, 2", "blocks")
+def q_block_histogram(spark, sf):
+    return raster.histogram(V.blocks(spark, sf), "v", -1.0, 1.0, 32, "tile")
 
 
 # --- filters ----------------------------------------------------------------------------------------------------------
@@ -361,23 +425,24 @@ def q_filter_subset(spark, sf):
     return V.tiles10(spark).join(F.broadcast(subset), "tile_id", "left").select("tile_id", F.when(C("wanted"), "pending").otherwise("skipped (not in subset)").alias("status"))
 
 
-@query("select tile_id from tiles10 t where exists (select 1 from files f where f.file_id%5=0 and t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b)", "tiles10", "files")
+@query("select tile_id from tiles10 t where exists (select 1 from files f where t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b)", "tiles10", "files")
 def q_filter_src_extent(spark, sf):
-    return box_join(V.tiles10(spark), V.source_files(spark, sf).where("file_id%5=0").select("l", "b", "r", "t"), 10.0, how="left_semi").select("tile_id")
+    return box_join(V.tiles10(spark), V.source_files(spark, sf).select("l", "b", "r", "t"), 10.0, how="left_semi").select("tile_id")
 
 
-@query("select tile_id from tiles10 t where exists (select 1 from feat f where f.v=3 and t.l<=f.r and t.r>=f.l and t.b<=f.t and t.t>=f.b)", "tiles10", "feat")
+@query("select tile_id from tiles10 t where exists (select 1 from feat f where t.l<=f.r and t.r>=f.l and t.b<=f.t and t.t>=f.b)", "tiles10", "feat")
 def q_vector_exists(spark, sf):
-    return vector.tiles_with_features(V.tiles10(spark), V.features(spark, sf).where("v=3")).select("tile_id")
+    return vector.tiles_with_features(V.tiles10(spark), V.features(spark, sf)).select("tile_id")
 
 
-EXISTING = "(select distinct case when o_custkey%2=0 then 'geotiff' else 'gdal-geotiff' end as fmt, lpad((abs((o_custkey%18)*10-80))::varchar,2,'0')||case when (o_custkey%18)*10-80>=0 then 'N' else 'S' end||'_'||lpad((o_orderkey%18*10)::varchar,3,'0')||'E' as tile_id from orders where o_orderkey%11<3)"
+EXISTING = "(select distinct case when (o_orderkey//18)%3=0 then 'geotiff' else 'gdal-geotiff' end as fmt, lpad((abs((o_custkey%18)*10-80))::varchar,2,'0')||case when (o_custkey%18)*10-80>=0 then 'N' else 'S' end||'_'||lpad((o_orderkey%18*10)::varchar,3,'0')||'E' as tile_id from orders)"
 
 
 def existing(spark, sf) -> DataFrame:
     """Tiles and formats that are already there, from the orders."""
     left, top = (C("o_orderkey") % 18 * 10).cast("int"), (C("o_custkey") % 18 * 10 - 80).cast("int")
-    return V.table(spark, sf, "orders").where("o_orderkey%11<3").select(F.when(C("o_custkey") % 2 == 0, "geotiff").otherwise("gdal-geotiff").alias("fmt"), tile_id(left, top).alias("tile_id")).distinct()
+    plain = F.floor(C("o_orderkey") / 18) % 3 == 0
+    return V.table(spark, sf, "orders").select(F.when(plain, "geotiff").otherwise("gdal-geotiff").alias("fmt"), tile_id(left, top).alias("tile_id")).distinct()
 
 
 @query(f"select t.tile_id, case when count(e.fmt)=2 then 'existing' else 'pending' end as status from tiles10 t left join {EXISTING} e using (tile_id) group by 1", "tiles10")
@@ -449,6 +514,40 @@ def q_rasterize_value_desc(spark, sf):
     return vector.rasterize(V.features(spark, sf), "desc")
 
 
+# --- polygons: a diamond in each feature's box, with a hole of half its size -------------------------------------------
+DIAMOND = "(select fid, v, (l+r)/2+0.037::double as cx, (b+t)/2+0.0213::double as cy, (r-l)/2 as w, (t-b)/2 as h from feat)"
+
+
+def diamonds(spark, sf) -> DataFrame:
+    f = V.features(spark, sf).selectExpr("fid", "v", "(l+r)/2+0.037D as cx", "(b+t)/2+0.0213D as cy", "(r-l)/2 as w", "(t-b)/2 as h")
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    ring = lambda k: F.array(*(corner(C("cx") + C("w") * x * k, C("cy") + C("h") * y * k) for x, y in ((-1, 0), (0, 1), (1, 0), (0, -1), (-1, 0))))
+    return f.select("fid", "v", F.array(ring(1.0), ring(0.5)).alias("rings"), (C("cx") - C("w")).alias("l"), (C("cy") - C("h")).alias("b"), (C("cx") + C("w")).alias("r"), (C("cy") + C("h")).alias("t"))
+
+
+@query(f"select fid, round(1.5::double*w*h, 6) as area from {DIAMOND}", "feat")
+def q_polygon_clip(spark, sf):
+    return vector.polygons_clipped(V.tiles10(spark), diamonds(spark, sf)).groupBy("fid").agg(F.round(F.sum("area"), 6).alias("area"))
+
+
+@query(f"select distinct tile_id, fid from tiles10 t, {DIAMOND} d where greatest(0, t.l-cx, cx-t.r)/w+greatest(0, t.b-cy, cy-t.t)/h < 1", "tiles10", "feat")
+def q_polygon_intersects(spark, sf):
+    return vector.polygons_clipped(V.tiles10(spark), diamonds(spark, sf)).select("tile_id", "fid")
+
+
+POLYGON_BURN = f"(select px, py, v, abs(px+0.5::double-cx)/w+abs(py+0.5::double-cy)/h as m from (select *, unnest(range(floor(cy-h)::int-1, ceil(cy+h)::int+2)) as py from (select *, unnest(range(floor(cx-w)::int-1, ceil(cx+w)::int+2)) as px from {DIAMOND})))"
+
+
+@query(f"select px::bigint as px, py::bigint as py, max(v) as v from {POLYGON_BURN} where m < 1 and m >= 0.5::double group by px, py", "feat")
+def q_polygon_rasterize(spark, sf):
+    return vector.polygons_rasterized(diamonds(spark, sf), "asc")
+
+
+@query(f"select px::bigint as px, py::bigint as py, count(*)::bigint as n from {POLYGON_BURN} where m < 1 and m >= 0.5::double group by px, py", "feat")
+def q_polygon_count(spark, sf):
+    return vector.polygons_rasterized(diamonds(spark, sf), "count")
+
+
 # --- catalogues and jobs ----------------------------------------------------------------------------------------------
 def formats(tiles: DataFrame) -> DataFrame:
     return tiles.withColumn("fmt", F.explode(F.array(F.lit("geotiff"), F.lit("gdal-geotiff"))))
@@ -459,9 +558,12 @@ def q_format_cross(spark, sf):
     return formats(V.tiles10(spark)).select("tile_id", "fmt")
 
 
-@query("select tile_id, lower('Level')||'/v201911/raster/epsg-4326/10/40000/is/geotiff/'||tile_id||'.tif' as path from tiles10", "tiles10")
+LAYER = LayerSpec("level", "v201911", "raster", "is", "uint8", "10/40000", ("s3://b/k",), calc="A*2+1", no_data=0)
+
+
+@query("select tile_id, 'level/v201911/raster/epsg-4326/10/40000/is/geotiff/'||tile_id||'.tif' as path from tiles10", "tiles10")
 def q_output_path(spark, sf):
-    return V.tiles10(spark).select("tile_id", F.concat_ws("/", F.lower(F.lit("Level")), F.lit("v201911/raster/epsg-4326/10/40000/is/geotiff"), F.concat("tile_id", F.lit(".tif"))).alias("path"))
+    return V.tiles10(spark).select("tile_id", tile_path(LAYER, C("tile_id"), "geotiff").alias("path"))
 
 
 RING = "'[['||l||','||t||'],['||r||','||t||'],['||r||','||b||'],['||l||','||b||'],['||l||','||t||']]'"
@@ -475,9 +577,23 @@ def q_geojson_tiles(spark, sf):
 @query("select tile_id, l, t from tiles10 where l >= 0 and t > 0", "tiles10")
 def q_geojson_scan(spark, sf):
     text = V.tiles10(spark).where("l >= 0 and t > 0").select(catalog.feature_json(C("tile_id"), C("l"), C("b"), C("r"), C("t")).alias("feature"))
-    schema = "properties struct<name:string>, geometry struct<coordinates:array<array<array<double>>>>"
-    f = text.select(F.from_json("feature", schema).alias("f"))
-    return f.select(C("f.properties.name").alias("tile_id"), C("f.geometry.coordinates")[0][0][0].alias("l"), C("f.geometry.coordinates")[0][0][1].alias("t"))
+    f = text.select(V.feature_of(C("feature")).alias("f"))
+    return f.select(C("f.name").alias("tile_id"), C("f.rings")[0][0]["x"].alias("l"), C("f.rings")[0][0]["y"].alias("t"))
+
+
+@query("select '{\"type\":\"FeatureCollection\",\"features\":['||string_agg('{\"type\":\"Feature\",\"properties\":{\"name\":\"'||tile_id||'\"},\"geometry\":{\"type\":\"Polygon\",\"coordinates\":['||" + RING + "||']}}', ',' order by tile_id)||']}' as geojson from tiles10", "tiles10")
+def q_feature_collection(spark, sf):
+    f = V.tiles10(spark).select("tile_id", catalog.feature_json(C("tile_id"), C("l"), C("b"), C("r"), C("t")).alias("feature"))
+    return catalog.collection(f, "tile_id")
+
+
+MET = "(select distinct l::int//10 as x, b::int//10 as y from (select floor(t.l) as l, floor(t.b) as b from tiles10 t join files f on t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b))"
+
+
+@query(f"with runs as (select y, min(x) as x0, max(x) as x1 from (select x, y, x-row_number() over (partition by y order by x) as g from {MET}) group by y, g) select x0*10.0::double as l, min(y)*10.0::double as b, x1*10.0::double+10 as r, max(y)*10.0::double+10 as t from (select *, y-row_number() over (partition by x0, x1 order by y) as h from runs) group by x0, x1, h".replace("with runs", "select * from (with runs") + ")", "tiles10", "files")
+def q_extent_dissolve(spark, sf):
+    met = box_join(V.tiles10(spark), V.source_files(spark, sf).select("l", "b", "r", "t"), 10.0, how="left_semi")
+    return catalog.dissolved(met, 10.0)
 
 
 @query("select min(l) as l, min(b) as b, max(r) as r, max(t) as t, sum(area) as area from (select distinct l, b, r, t, (r-l)*(t-b) as area from (select t.* from tiles10 t join files f on t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b))", "tiles10", "files")
@@ -485,9 +601,11 @@ def q_extent_union(spark, sf):
     return catalog.extent(box_join(V.tiles10(spark), V.source_files(spark, sf), 10.0).select("a.l", "a.b", "a.r", "a.t"))
 
 
-@query("select band_count::bigint as band_count, min(l) as l, min(b) as b, max(r) as r, max(t) as t from files group by 1", "files")
+@query("select band_count::bigint as band_count, min(x)::double as l, min(y)::double as b, max(x)+1::double as r, max(y)+1::double as t, count(*)::double as area from (select distinct band_count, x, unnest(range(b::int, t::int)) as y from (select band_count, b, t, unnest(range(l::int, r::int)) as x from files)) group by 1", "files")
 def q_geom_union(spark, sf):
-    return V.source_files(spark, sf).groupBy(C("band_count").cast("long").alias("band_count")).agg(F.min("l").alias("l"), F.min("b").alias("b"), F.max("r").alias("r"), F.max("t").alias("t"))
+    parts = catalog.dissolved(V.source_files(spark, sf), 1.0, "band_count")
+    area = F.sum((C("r") - C("l")) * (C("t") - C("b"))).alias("area")
+    return parts.groupBy(C("band_count").cast("long").alias("band_count")).agg(F.min("l").alias("l"), F.min("b").alias("b"), F.max("r").alias("r"), F.max("t").alias("t"), area)
 
 
 @query("select (fid%500)::bigint as g, max(l) as l, max(b) as b, min(r) as r, min(t) as t, max(l) < min(r) and max(b) < min(t) as some from feat group by 1", "feat")
@@ -531,9 +649,9 @@ def q_uris_per_format(spark, sf):
     return existing(spark, sf).groupBy("fmt").agg(F.array_join(F.sort_array(F.collect_list(uri)), ",").alias("uris"))
 
 
-@query("with recursive d(job, level) as (select p_partkey, 0 from part where p_partkey%10=0 union all select p.p_partkey, d.level+1 from part p join d on p.p_partkey%10<>0 and d.job=p.p_partkey-1) select job, level::int as level from d")
+@query("select p_partkey as job, coalesce(level, -1)::int as level from part left join (with recursive d(job, level) as (select p_partkey, 0 from part where p_partkey%10=0 union all select p.p_partkey, d.level+1 from part p join d on p.p_partkey%10<>0 and d.job=p.p_partkey-1) select job, level::int as level from d) on job = p_partkey")
 def q_dag_levels(spark, sf):
-    return catalog.dag_levels(V.table(spark, sf, "part").select(C("p_partkey").alias("job"), F.when(C("p_partkey") % 10 != 0, C("p_partkey") - 1).alias("parent")))
+    return catalog.dag_levels(V.table(spark, sf, "part").select(C("p_partkey").alias("job"), F.when(C("p_partkey") % 10 != 0, C("p_partkey") - 1).alias("parent"))).select("job", F.coalesce("level", F.lit(-1)).alias("level"))
 
 
 @query("select o_orderkey, case when o_custkey%3=0 then 'dependent' when o_custkey%3=1 and o_orderkey%4=0 then 'excluded' else 'runnable' end as kind from orders")
@@ -542,6 +660,28 @@ def q_catalog_split(spark, sf):
     return jobs.select("o_orderkey", F.when(C("depends_on").isNotNull(), "dependent").when(C("grid") == "1/4000", "excluded").otherwise("runnable").alias("kind"))
 
 
+# --- a layer from its specification to its report -----------------------------------------------------------------------
+RUN_SQL = """
+select t.tile_id, case when t.top_i < -40 then 'skipped (not in subset)' when f.tile_id is null then 'skipped (does not intersect)' when t.left_i = 0 then 'existing' when d.tile_id is null then 'skipped (has no data)' else 'processed' end as status,
+    coalesce(case when t.top_i >= -40 and f.tile_id is not null and t.left_i <> 0 then d.n end, 0)::bigint as n, coalesce(case when t.top_i >= -40 and f.tile_id is not null and t.left_i <> 0 then d.total end, 0)::bigint as total
+from tiles10 t left join (select distinct t.tile_id from tiles10 t join files f on t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b) f using (tile_id)
+left join (select tile_id, count(*)::bigint as n, sum(v)::bigint as total from (
+    select lpad(abs(top)::varchar,2,'0')||case when top>=0 then 'N' else 'S' end||'_'||lpad(abs(lft)::varchar,3,'0')||case when lft>=0 then 'E' else 'W' end as tile_id, (arg_max(q, k)*2+1)::bigint%256 as v
+    from (select (l_partkey%18)::int*10-80 as top, (l_orderkey%37)::int*10-180 as lft, l_suppkey%16 as r, l_linenumber as c, l_orderkey*10+l_linenumber as k, l_quantity as q from lineitem) group by top, lft, r, c) group by 1) d using (tile_id)
+"""
+
+
+@query(RUN_SQL, "tiles10", "files")
+def q_layer_run(spark, sf):
+    left, top = (C("l_orderkey") % 37 * 10 - 180).cast("int"), (C("l_partkey") % 18 * 10 - 80).cast("int")
+    pixels = V.table(spark, sf, "lineitem").select(tile_id(left, top).alias("tile_id"), F.lit(0).alias("band"), (C("l_orderkey") * 10 + C("l_linenumber")).alias("k"), (C("l_suppkey") % 16).cast("int").alias("r"), C("l_linenumber").alias("c"), C("l_quantity").alias("v"))
+    tiles = V.tiles10(spark)
+    subset = [r.tile_id for r in tiles.where("top >= -40").select("tile_id").collect()]  # the grid's 648 tiles at most
+    done = run(LAYER, tiles, pixels, files=V.source_files(spark, sf), subset=subset, existing=tiles.where("left = 0"))
+    totals = done.pixels.groupBy("tile_id").agg(F.count("*").alias("n"), F.sum("band_1").alias("total"))
+    return done.statuses.join(totals, "tile_id", "left").select("tile_id", "status", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("total", F.lit(0)).alias("total"))
+
+
 # --- scalars ----------------------------------------------------------------------------------------------------------
 @query("select file_id, replace(uri, 's3://', '/vsis3/') as vsi, uri as back from files", "files")
 def q_vsi_path(spark, sf):
@@ -605,11 +745,14 @@ def q_spec_json(spark, sf):
     return s.select("c_custkey", "s.dataset", "s.version", F.coalesce("s.band_count", F.lit(1)).alias("band_count"))
 
 
-@query("select g.name, d.dtype, d.stored, case when d.dtype='boolean' then 'CCITTFAX4' else 'DEFLATE' end as compress, (select max(b) from range(128, 529, 16) r(b) where cols % b = 0)::int as block from " + GRIDS_SQL + " g, (values ('boolean','uint8'),('uint16','uint16'),('half','float16')) d(dtype, stored)")
+@query("select g.name, g.cols::bigint as width, d.dtype, d.stored, case when d.dtype='boolean' then 'CCITTFAX4' else 'DEFLATE' end as compress, (select max(b) from range(128, 529, 16) r(b) where cols % b = 0)::int as block, case when d.dtype='int8' then 'SIGNEDBYTE' else 'DEFAULT' end as pixeltype, d.nbits from " + GRIDS_SQL + " g, (values ('boolean','uint8',1),('uint16','uint16',0),('half','float16',16),('int8','int8',0)) d(dtype, stored, nbits)")
 def q_dst_profile(spark, sf):
-    kinds = spark.createDataFrame([(k, DTYPES[k][0]) for k in ("boolean", "uint16", "half")], "dtype string, stored string")
-    grids = grids_table(spark).where("kind = 'latlng'").select("name", "block")
-    return grids.join(F.broadcast(kinds), F.lit(True)).select("name", "dtype", "stored", F.when(C("dtype") == "boolean", "CCITTFAX4").otherwise("DEFLATE").alias("compress"), "block")
+    rows = []
+    for name in [r.name for r in grids_table(spark).where("kind = 'latlng'").collect()]:
+        for kind in ("boolean", "uint16", "half", "int8"):
+            x = profile(LayerSpec("d", "v1", "raster", "is", kind, name, ("s3://b/k",)), "gdal-geotiff", 0.0, 0.0)
+            rows.append((name, x["width"], kind, x["dtype"], x["compress"], x["blockxsize"], x["pixeltype"], x.get("nbits", 0)))
+    return spark.createDataFrame(rows, "name string, width long, dtype string, stored string, compress string, block int, pixeltype string, nbits int")
 
 
 @query("select n_nationkey, case n_nationkey%3 when 0 then 'nearest' when 1 then 'mode' else 'average' end as method, n_nationkey%4<>3 as known from nation")

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def rows(df: pd.DataFrame) -> list:
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return None
         return round(float(v), 6) + 0.0 if isinstance(v, float) else v
 
