@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +6,7 @@ from gridspark.operators import catalog, raster, vector
 from gridspark.operators.joins import box_join
 from gridspark.plans import layer
 from gridspark.plans.layer import LayerSpec, status, tile_path, transform
-from gridspark.sources import views
+from gridspark.sources import tiff, views
 
 SPEC = {"dataset": "snow", "version": "v7", "source_type": "raster", "pixel_meaning": "depth_cm", "data_type": "uint16", "grid": "10/40000", "source_uri": ("s3://b/k",)}
 
@@ -195,6 +196,50 @@ def test_job_catalogue(spark):
     assert rows == [("trees", "cover", "1/4000", "raster", None, "trees/cover", "A+1"), ("trees", "cover", "10/40000", "raster", "s3://a,s3://b", None, "A")]
 
 
+def header(**change):
+    return tiff.Header(**{"width": 50, "height": 40, "count": 2, "dtype": "int16", "nbits": 16, "compress": "DEFLATE", "tiled": True, "blockxsize": 16, "blockysize": 16, "interleave": "BAND", "crs": "EPSG:4326", "no_data": -1.0, "transform": (0.25, 0.0, 10.0, 0.0, -0.25, 20.0)} | change)
+
+
+def test_rasters_round_trip(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    bands = rng.integers(-1, 5, (2, 40, 50)).astype("int16")
+    bands[:, :16, :16] = -1
+    for name, h in (("a", header()), ("b", header(compress=None, dtype="float32", nbits=32)), ("c", header(dtype="uint8", nbits=8, no_data=None))):
+        data = bands.astype(h.dtype) if h.dtype != "uint8" else (bands + 1).astype("uint8")
+        tiff.put(f"{tmp_path}/{name}.tif", tiff.encode(data, h))
+    files = tiff.listed(spark, [f"{tmp_path}/{n}.tif" for n in "abc"])
+    rows = {r.path[-5]: r for r in tiff.profiles(files).collect()}
+    a = rows["a"]
+    assert (a.width, a.height, a["count"], a.dtype, a.compress, a.tiled, a.blockxsize, a.interleave, a.crs, a.no_data) == (50, 40, 2, "int16", "DEFLATE", True, 16, "BAND", "EPSG:4326", -1)
+    assert (a.l, a.b, a.r, a.t) == (10, 10, 22.5, 20) and rows["b"].compress is None and rows["c"].no_data is None
+    got = {(r.band, r.r, r.c): r.v for r in tiff.pixels(files.where("path like '%a.tif'")).collect()}
+    assert len(got) == 4000 and all((v is None) == (bands[k] == -1) and v in (None, bands[k]) for k, v in got.items())
+    part = tiff.pixels(files.where("path like '%b.tif'"), (14, 10, 20, 9)).collect()
+    assert {(r.band, r.r, r.c) for r in part} == {(b, r, c) for b in (0, 1) for r in range(10, 19) for c in range(14, 34)}
+    assert tiff.pixels(files, (60, 0, 5, 5)).count() == 0
+    with open(f"{tmp_path}/a.tif", "rb") as f:
+        h = tiff.read_header(f)
+    assert 0 in h.sizes and sum(x == 0 for x in h.sizes) == 2
+    copies = {r.path[-5]: r.copy for r in tiff.convert(files, f"{tmp_path}/copies", None).collect()}
+    again = {(r.band, r.r, r.c): r.v for r in tiff.pixels(tiff.listed(spark, [copies["a"]])).collect()}
+    assert again == got and tiff.profiles(tiff.listed(spark, [copies["a"]])).first().compress is None
+    (tmp_path / "x.tif").write_bytes(b"nothing")
+    for bad in ("x", "missing"):
+        with pytest.raises(Exception, match=f"{bad}.tif"):
+            tiff.profiles(tiff.listed(spark, [f"{tmp_path}/{bad}.tif"])).collect()
+
+
+def test_window_files(spark, tmp_path):
+    rows = [("10N_010E", 10.0, 20.0, r, c, [float(r * 50 + c), 1.0]) for r in (0, 15, 16, 39) for c in range(50)]
+    blocks = spark.createDataFrame(rows, "tile_id string, left double, top double, r int, c int, bands array<double>")
+    out = [r.path for r in tiff.write_windows(blocks, str(tmp_path), header(), 16).collect()]
+    assert sorted(p.rsplit("/", 1)[1] for p in out) == sorted(f"10N_010E_{c}_{r}.tif" for c in (0, 16, 32, 48) for r in (0, 16, 32))
+    one = tiff.profiles(tiff.listed(spark, [f"{tmp_path}/10N_010E_48_32.tif"])).first()
+    assert (one.width, one.height, one.l, one.t) == (2, 8, 22.0, 12.0)
+    got = {(r.band, r.r, r.c): r.v for r in tiff.pixels(tiff.listed(spark, [f"{tmp_path}/10N_010E_48_32.tif"])).where("v is not null").collect()}
+    assert got == {(0, 7, 0): 1998.0, (0, 7, 1): 1999.0, (1, 7, 0): 1.0, (1, 7, 1): 1.0}
+
+
 TILES = [("10N_000E", 0.0, 0.0, 10.0, 10.0), ("10N_010E", 10.0, 0.0, 20.0, 10.0), ("20N_000E", 0.0, 10.0, 10.0, 20.0), ("20N_010E", 10.0, 10.0, 20.0, 20.0), ("30N_000E", 0.0, 20.0, 10.0, 30.0)]
 
 
