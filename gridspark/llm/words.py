@@ -2,53 +2,87 @@
 
 from __future__ import annotations
 
-from itertools import chain
+import functools
 
 import numpy as np
 import regex
-import xxhash
 
-from .common import CACHE_ENTRIES, bounded, mix64
+from .common import mix64
 
 SHINGLE = 5
+#: Characters whose words are hashed at a time.
+PIECE = 1 << 20
 _ALNUM = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_OTHER, _KEPT, _SPACE = 0, 1, 2
+
+
+@functools.cache
+def kinds() -> np.ndarray:
+    """For each code point whether it is a letter, mark or digit, white space, or something else."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    out = np.zeros(0x110000, np.uint8)
+    for m in _ALNUM.finditer(every):
+        a, b = (ord(every[i]) for i in (m.start(), m.end() - 1))
+        out[a : b + 1] = _KEPT
+    out[0xD800:0xE000] = _OTHER
+    out[[i for i in range(0x3001) if chr(i).isspace()]] = _SPACE
+    return out
+
+
+@functools.lru_cache(maxsize=4)
+def powers(n: int) -> np.ndarray:
+    """Powers of an odd number modulo 2**64."""
+    return np.cumprod(np.full(n, _STEP), dtype=np.uint64)
 
 
 class Words:
-    """Texts to arrays of 64-bit hashes of lower-cased words; what is no letter, mark or digit is dropped."""
+    """Texts to arrays of 64-bit hashes of lower-cased words; what is no letter, mark or digit is dropped.
 
-    def __init__(self, entries: int = CACHE_ENTRIES):
-        self.known: dict[str, int] = {}
-        self.entries = entries
+    A word's hash is a polynomial in its characters, made for all words of a piece of text at once.
+    """
 
     def hashes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' hashes one after another, and how many each text has."""
-        split = [t.lower().split() for t in texts]
-        known, digest = self.known, xxhash.xxh3_64_intdigest
-        for w in set().union(*split) - known.keys():
-            bare = w.strip(".,")
-            if not bare.isalnum():
-                bare = "".join(_ALNUM.findall(bare))
-            known[w] = (digest(bare) or 1) if bare else 0
-        size = np.fromiter(map(len, split), np.int64, len(split))
-        h = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.uint64, int(size.sum()))
-        self.known = bounded(known, (w for p in split for w in p), self.entries)
-        some = h != 0
-        if not some.all():
-            of = np.repeat(np.arange(len(split)), size)
-            size = np.bincount(of[some], minlength=len(split))
-            h = h[some]
-        return h, size
-
-
-_words: list[Words] = []
-
-
+        lower = [t.lower() for t in texts]
+        points = np.frombuffer(" ".join(lower).encode("utf-32-le"), "<u4")
+        ends = np.cumsum([len(t) + 1 for t in lower], dtype=np.int64)
+        out, starts, a = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        while a < len(points):
+            b = min(a + PIECE, len(points))
+            kind = kinds()[points[a:b]]
+            while b < len(points) and not (gaps := np.flatnonzero(kind == _SPACE)).size:
+                # a word longer than a piece
+                b = min(b + (b - a), len(points))
+                kind = kinds()[points[a:b]]
+            if b < len(points):
+                b = a + int(gaps[-1]) + 1
+                kind = kind[: b - a]
+            h, start = self.piece(points[a:b], kind)
+            out.append(h)
+            starts.append(start + a)
+            a = b
+        h, start = np.concatenate(out), np.concatenate(starts)
+        return h, np.bincount(np.searchsorted(ends, start, side="right"), minlength=len(texts)).astype(np.int64)
+
+    @staticmethod
+    def piece(points: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words, and the place of each one's first character that counts."""
+        kept = np.flatnonzero(kind == _KEPT)
+        if not len(kept):
+            return np.zeros(0, np.uint64), kept
+        word = np.cumsum(kind == _SPACE, dtype=np.int32)[kept]
+        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        size = np.diff(np.append(first, len(kept)))
+        inner = np.arange(len(kept)) - np.repeat(first, size)
+        longest = 1 << int(size.max() - 1).bit_length()
+        h = np.add.reduceat(mix64(points[kept].astype(np.uint64) + np.uint64(1)) * powers(max(64, longest))[inner], first)
+        return np.maximum(mix64(h), np.uint64(1)), kept[first]
+
+
+@functools.cache
 def worker_words() -> Words:
-    if not _words:
-        _words.append(Words())
-    return _words[0]
+    return Words()
 
 
 def shingles(h: np.ndarray, size: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
