@@ -7,16 +7,20 @@ A data file holds one record for each document, in ascending order of doc_id (nu
     body     doc_id signed 64-bit, has_id one byte, width one byte (2 or 4), ids unsigned little-endian of that width
     check    unsigned 32-bit   masked CRC-32 of the body
 
-all little-endian; masked(c) = rotate_right(c, 15) + 0xA282EAD8.  Beside it an index file holds (offset, n_tokens) of
-each record as two unsigned 64-bit integers, so that a shuffled reader seeks to any record.  Files are cut by ranges of
-doc_id; the manifest (one row a file) gives their order.  A task writes under a name of its own attempt and renames at
-the end, so that a task that runs again replaces the file by one of the same content.
+all little-endian; masked(c) = rotate_right(c, 15) + 0xA282EAD8.  Beside it an index file holds (offset, ids before it in
+the file) of each record as two unsigned 64-bit integers, and a last pair for the file's end, so that a reader seeks to
+any record.  Files are cut by ranges of doc_id and at FILE_BYTES; the manifest (one row a file) gives their order.  Every
+attempt of a task writes files of its own names, and the manifest names those of the attempts that ended well, so that a
+task that runs again harms nothing.
+
+Readers take CHUNK records at a time: ``read_records`` in order, ``read_shuffled`` in a seeded random order, in which each
+record is sought by its offset.  Both verify the checks, and that records and index agree.
 
 Words between spaces or line ends are encoded by the library's model once for each worker's cache: the tokenizer's
 pre-tokenizer drops white space and never joins what it separates.
 
-Defined results: a null text is empty (the end id alone); repeated ids give one record a row, ordered by text; an empty
-table gives no file and an empty result.
+Defined results: a null text is empty (the end id alone); rows that repeat an id give one record each, ordered by a hash
+of the text and then by the text; an empty table gives no file and an empty result; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -32,11 +36,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import CACHE_ENTRIES, bounded, new_path, slices
+from .common import bounded_batches, new_path, resident, slices, trimmed
 from .pretokens import PreTokens
 
 END_ID = 1
-MANIFEST = "part int, file string, n_docs long, n_tokens long, n_bytes long"
+#: Bytes at which a task starts its next file, and records that a reader takes at a time.
+FILE_BYTES, CHUNK = 256 << 20, 4096
+ENTRIES = 500_000
+MANIFEST = "part int, seq int, file string, n_docs long, n_tokens long, n_bytes long"
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -72,7 +79,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class Encoder:
     """Texts to the bytes of their ids; one for each worker."""
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, entries: int = ENTRIES):
         self.tokens, self.entries = PreTokens(path, PATTERN, True, entries, "I"), entries
         self.width = 2 if self.tokens.whole.get_vocab_size() <= 1 << 16 else 4
         self.tokens.code = "H" if self.width == 2 else "I"
@@ -81,80 +88,127 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         known, ids = self.known, self.tokens.all
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        for w in set().union(*split) - known.keys():
+        for w in (new := [w for w in set().union(*split) if w not in known]):
             known[w] = b"".join(ids(w))
         end = END_ID.to_bytes(self.width, "little")
         out = [b"".join([*map(known.__getitem__, p), end]) for p in split]
-        self.known = bounded(known, (w for p in split for w in p), self.entries)
+        self.known = trimmed(known, new, self.entries)
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+class Writer:
+    """The files of one attempt of a task."""
+
+    def __init__(self, path: str, part: int):
+        self.store, self.root = fs.FileSystem.from_uri(path)
+        self.store.create_dir(self.root)
+        self.part, self.own, self.seq, self.name = part, uuid.uuid4().hex, 0, ""
+
+    def add(self, doc_ids: list, ids: list[bytes], width: int) -> dict | None:
+        """Appends records; the manifest's row of the file if that makes it full."""
+        if not self.name:
+            self.name = f"part-{self.part:06d}-{self.seq:04d}-{self.own}"
+            self.data, self.index = (self.store.open_output_stream(f"{self.root}/{self.name}.{kind}") for kind in ("records", "index"))
+            self.n_docs = self.n_tokens = self.n_bytes = 0
+        entries = []
+        for doc_id, x in zip(doc_ids, ids, strict=True):
+            record = frame(doc_id, x, width)
+            self.data.write(record)
+            entries += (self.n_bytes, self.n_tokens)
+            self.n_bytes, self.n_tokens = self.n_bytes + len(record), self.n_tokens + len(x) // width
+        self.index.write(np.array(entries, "<u8").tobytes())
+        self.n_docs += len(doc_ids)
+        return self.close() if self.n_bytes >= FILE_BYTES else None
+
+    def close(self) -> dict | None:
+        if not self.name:
+            return None
+        self.index.write(np.array([self.n_bytes, self.n_tokens], "<u8").tobytes())
+        self.data.close()
+        self.index.close()
+        row = {"part": self.part, "seq": self.seq, "file": self.name, "n_docs": self.n_docs, "n_tokens": self.n_tokens, "n_bytes": self.n_bytes}
+        self.name, self.seq = "", self.seq + 1
+        return row
 
 
 def write_records(docs: DataFrame, tokenizer_path: str, path: str) -> list:
-    """Writes docs(doc_id, text) below path; the manifest's rows in order, with the tokens before each file."""
+    """Writes docs(doc_id, text) below path; the manifest's rows in order: (file, ids before it, records)."""
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        if (encoder := _encoders.get(tokenizer_path)) is None:
-            encoder = _encoders[tokenizer_path] = Encoder(tokenizer_path)
-        part = TaskContext.get().partitionId()
-        store, root = fs.FileSystem.from_uri(path)
-        name, own = f"part-{part:06d}", f"{root}/.{uuid.uuid4().hex}"
-        out, index, n_tokens, at = None, [], 0, 0
+        encoder = resident(("binary_records", tokenizer_path), lambda: Encoder(tokenizer_path))
+        writer, rows = Writer(path, TaskContext.get().partitionId()), []
         for batch in slices(batches, "text"):
-            if out is None:
-                store.create_dir(root)
-                out = store.open_output_stream(f"{own}.records")
-            ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
-            for doc_id, x in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
-                record, n = frame(doc_id, x, encoder.width), len(x) // encoder.width
-                out.write(record)
-                index.append((at, n))
-                at, n_tokens = at + len(record), n_tokens + n
-        if out is None:
-            return
-        out.close()
-        with store.open_output_stream(f"{own}.index") as f:
-            f.write(np.array(index, "<u8").tobytes())
-        for kind in ("records", "index"):
-            store.move(f"{own}.{kind}", f"{root}/{name}.{kind}")
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": [name], "n_docs": [len(index)], "n_tokens": [n_tokens], "n_bytes": [at]})
-
-    ordered = docs.selectExpr("cast(doc_id as long) doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+            rows.append(writer.add(batch.column("doc_id").to_pylist(), encoder.encode([t or "" for t in batch.column("text").to_pylist()]), encoder.width))
+        if rows := [r for r in [*rows, writer.close()] if r]:
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([(c, t) for c, t in zip(rows[0], (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)]))
+
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
+    ordered = docs.selectExpr("cast(doc_id as long) doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
     manifest, start = [], 0
     for r in sorted(ordered.mapInArrow(run, MANIFEST).collect()):  # one row a file
-        manifest.append((r.part, r.file, start, r.n_docs))
+        manifest.append((r.file, start, r.n_docs))
         start += r.n_tokens
     return manifest
 
 
+def chunks(spark: SparkSession, manifest: list) -> DataFrame:
+    """(file, start, a, b): records a to b of each file, CHUNK at most."""
+    files = spark.createDataFrame(manifest, "file string, start long, n_docs long")
+    rows = files.select("file", "start", "n_docs", F.explode(F.sequence(F.lit(0), F.col("n_docs") - 1, F.lit(CHUNK))).alias("a"))
+    return rows.select("file", "start", "a", F.least(F.col("a") + CHUNK, "n_docs").alias("b"))
+
+
+def read_chunk(path: str, file: str, a: int, b: int, order: np.ndarray | None = None) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+    """(record's number, doc_id, ids before it in the file, ids) of records a to b, by the index; order: which after which."""
+    store, root = fs.FileSystem.from_uri(path)
+    with store.open_input_file(f"{root}/{file}.index") as f:
+        f.seek(16 * a)
+        index = np.frombuffer(f.read(16 * (b - a + 1)), "<u8").reshape(-1, 2).astype(np.int64).tolist()
+    if len(index) != b - a + 1:
+        raise ValueError(f"{file}: the index ends before record {b}")
+    with store.open_input_file(f"{root}/{file}.records") as f:
+        if order is None:  # neighbours come in one read
+            f.seek(index[0][0])
+            data, base = pa.BufferReader(f.read(index[-1][0] - index[0][0])), index[0][0]
+        else:
+            data, base = f, 0
+        for k in range(b - a) if order is None else order.tolist():
+            (at, start), (end, upto) = index[k], index[k + 1]
+            doc_id, ids = read_record(data, at - base)
+            if data.tell() != end - base or len(ids) != upto - start:
+                raise ValueError(f"{file}: record {a + k} and index differ")
+            yield a + k, doc_id, start, ids
+
+
 def read_records(spark: SparkSession, path: str, manifest: list) -> DataFrame:
     """A row for each record of the files, every check verified."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(path)
         for batch in batches:
-            for row in batch.to_pylist():
-                start, rows = row["start"], []
-                with store.open_input_stream(f"{root}/{row['file']}.index") as f:
-                    index = np.frombuffer(f.read(), "<u8").reshape(-1, 2)
-                if len(index) != row["n_docs"]:
-                    raise ValueError(f"{row['file']}: index of {len(index)} records, manifest of {row['n_docs']}")
-                with store.open_input_stream(f"{root}/{row['file']}.records", buffer_size=1 << 20) as f:
-                    for _, n in index.tolist():
-                        doc_id, ids = read_record(f)
-                        if len(ids) != n:
-                            raise ValueError(f"{row['file']}: record and index differ")
-                        rows.append((doc_id, start, n, zlib.crc32(ids.astype("<u4").tobytes())))
-                        start += n
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    files = spark.createDataFrame(manifest, "part int, file string, start long, n_docs long")
-    return files.repartition(max(1, len(manifest))).mapInArrow(run, SCHEMA)
+            for r in batch.to_pylist():
+                rows = [(doc_id, r["start"] + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for _, doc_id, start, ids in read_chunk(path, r["file"], r["a"], r["b"])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    n = sum(-(-n_docs // CHUNK) for _, _, n_docs in manifest)
+    return chunks(spark, manifest).repartition(min(max(1, n), 8192)).mapInArrow(run, SCHEMA)
+
+
+def read_shuffled(spark: SparkSession, path: str, manifest: list, seed: int) -> DataFrame:
+    """(doc_id, ids) of every record once; chunks are dealt out, and their records sought, in an order that seed decides."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                order = np.random.default_rng([seed, zlib.crc32(r["file"].encode()), r["a"]]).permutation(r["b"] - r["a"])
+                rows = [(doc_id, ids.astype("<u4").tolist()) for _, doc_id, _, ids in read_chunk(path, r["file"], r["a"], r["b"], order)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    n = sum(-(-n_docs // CHUNK) for _, _, n_docs in manifest)
+    mixed = F.xxhash64("file", "a", F.lit(seed))
+    return chunks(spark, manifest).repartition(min(max(1, n), 8192), mixed).sortWithinPartitions(mixed).mapInArrow(run, "doc_id long, ids array<long>")
 
 
 def op1_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:

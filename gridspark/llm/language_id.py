@@ -12,6 +12,9 @@ rows that aren't held out, by aggregation: a text goes when its cross-entropy li
 its language's mean as the texts at quantile ``LEVEL``, measured in standard errors of its own length.  Languages with
 fewer than ``PER_LANGUAGE`` such rows count the sample's texts too.
 
+The score is the posterior of a stretch of ``SHARP`` symbols at the text's cross-entropies, whatever the text's length; for
+a rejected text it is lowered by how far it passes the limit.
+
 Defined results: ``und`` with score 0 where text is null or has no letter; ties go to the language that sorts first;
 without any training row everything is ``und``; rows with null doc_id are never held out; repeated rows are judged row
 by row; an empty table gives an empty result.
@@ -29,12 +32,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, cut, map_batches, mix64
+from .common import CACHE_ENTRIES, CACHE_KEY, cut, map_batches, mix64, resident
 
 ORDER = 4
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 400
 SLACK = 1.5
+#: Symbols for which a score is the posterior, at the text's mean entropies.
+SHARP = 10
 #: Quantile of the excess, one text in PER_LANGUAGE above it, and the accuracy of its mergeable sketch.
 LEVEL, SKETCH = 1 - 1 / PER_LANGUAGE, 100_000
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -169,11 +174,12 @@ class Judge:
 
     def forget(self) -> None:
         self.row: dict[str, int] = {}
+        self.used = 0
         self.table = np.zeros((1024, len(self.model.languages) + 1))
 
     def learn(self, words: list[str]) -> None:
         bare = [letters(w) for w in words]
-        first, last = len(self.row), len(self.row) + len(words)
+        first, last = self.used, self.used + len(words)
         if last > len(self.table):
             self.table = np.vstack([self.table, np.zeros((max(last, 2 * len(self.table)) - len(self.table), self.table.shape[1]))])
         for a in range(0, len(words), 50_000):
@@ -182,14 +188,15 @@ class Judge:
             self.table[first + a : first + a + len(ll), :-1] = np.where(empty[:, None], 0, ll)
             self.table[first + a : first + a + len(ll), -1] = np.where(empty, 0, n)
         self.row.update(zip(words, range(first, last), strict=True))
+        self.used = last
 
     def totals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihoods of texts by language and their numbers of symbols (0: no letter)."""
         split = [words_of(t) for t in texts]
         new = set().union(*split)
-        if len(self.row) + len(new) > max(self.entries, len(new)):
+        if self.used + len(new) > max(self.entries, len(new)):
             self.forget()
-        self.learn(sorted(new - self.row.keys()))
+        self.learn(fresh := sorted(w for w in new if w not in self.row))
         out = np.zeros((len(texts), self.table.shape[1]))
         get = self.row.__getitem__
         for i, p in enumerate(split):
@@ -197,21 +204,27 @@ class Judge:
                 # exact sums: the order of a text's words or its neighbours changes nothing
                 rows, n = np.unique(np.fromiter(map(get, p), np.int64, len(p)), return_counts=True)
                 out[i] = n @ self.table[rows]
+        for w in fresh:
+            if len(w) > CACHE_KEY:
+                del self.row[w]
         return out[:, :-1], out[:, -1]
 
     def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language (-1: und), score, and whether calibrated rejection lets the text go."""
-        ll, n = self.totals(texts)
         if not self.model.languages:
             return np.full(len(texts), -1), np.zeros(len(texts)), np.ones(len(texts), bool)
-        best = ll.argmax(axis=1)
+        ll, n = self.totals(texts)
+        mean = ll / np.maximum(n, 1)[:, None]  # minus the cross-entropies
+        best = mean.argmax(axis=1)
+        high = mean[np.arange(len(ll)), best]
         with np.errstate(under="ignore"):
-            score = 1 / np.exp(ll - ll[np.arange(len(ll)), best][:, None]).sum(axis=1)
+            score = 1 / np.exp(SHARP * (mean - high[:, None])).sum(axis=1)
         some = n > 0
         rejected = ~some
         if self.model.limit is not None:
-            excess = (-ll[np.arange(len(ll)), best] / np.maximum(n, 1) - self.model.mean[best]) * np.sqrt(n)
+            excess = (-high - self.model.mean[best]) * np.sqrt(n)
             rejected |= excess > self.model.limit[best]
+            score = np.where(excess > self.model.limit[best], score * self.model.limit[best] / np.maximum(excess, 1e-9), score)
         return np.where(some, best, -1), np.where(some, score, 0.0), rejected
 
 
@@ -270,15 +283,9 @@ def fit(docs: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAGE) -
     return model
 
 
-_judges: dict[str, Judge] = {}
-
-
 def worker_judge(key: str, sent: Broadcast) -> Judge:
     """The worker's one judge of a broadcast model."""
-    if (judge := _judges.get(key)) is None:
-        _judges.clear()
-        judge = _judges[key] = Judge(sent.value)
-    return judge
+    return resident(("language_id", key), lambda: Judge(sent.value))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

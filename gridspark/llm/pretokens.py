@@ -6,6 +6,8 @@ from array import array
 
 import regex
 
+from .common import CACHE_KEY
+
 #: Characters whose classes and case no Unicode version has changed; parts with others go to the library whole.
 SAFE = regex.compile(r"[\t\n\r\x20-\x7e\xa0-įı-ɏ]*+")
 
@@ -44,7 +46,9 @@ class PreTokens:
             if len(self.known) >= self.entries:
                 self.known.clear()
             letters = token.replace(" ", "Ġ") if token.isascii() and token.isprintable() else token.encode().decode("latin-1").translate(LETTERS)
-            out = self.known[token] = self.keep([t.id for t in self.tokenize(letters)])
+            out = self.keep([t.id for t in self.tokenize(letters)])
+            if len(token) <= CACHE_KEY:
+                self.known[token] = out
         return out
 
     def split(self, part: str) -> list[str] | None:

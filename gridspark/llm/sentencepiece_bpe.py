@@ -7,8 +7,8 @@ left and is no piece becomes byte pieces.
 The normaliser must be the identity with escaped white space (checked).  If no piece has a space mark after another
 character (checked too), no merge crosses from a word to the mark after it; so each run of marks with the word behind it
 is encoded alone, once for each worker's cache.  Otherwise the agenda runs over the whole text.  In each Arrow batch what
-was new to the cache is encoded by the sentencepiece library as well; ``differ`` says which ids are used where the two
-differ ("library", or "raise").
+was new to the cache is encoded and decoded by the sentencepiece library as well; ``differ`` says whose
+ids and decoded texts are used where the two differ ("library"), or that this is an error ("raise").
 
 Defined results: a null text is empty and has no ids; repeated rows are encoded row by row; an empty table gives an empty
 result.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, bounded, map_batches
+from .common import CACHE_ENTRIES, map_batches, resident, trimmed
 
 MARK = "▁"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -121,24 +121,30 @@ class Codec:
 
     def learn(self, units: list[str]) -> None:
         """Encodes new units and holds them against the library."""
-        for u, theirs in zip(units, self.library.encode(units, num_threads=1), strict=True):
+        every = self.library.encode(units, num_threads=1)
+        for u, theirs, back in zip(units, every, self.library.decode(every, num_threads=1) if every else [], strict=True):
             ours = self.merge(MARK + u.replace(" ", MARK))
             if ours != theirs and u:  # the library gives no ids for an empty text; a lone mark is none
                 if self.differ == "raise":
                     raise ValueError(f"{u!r}: {ours}, the library gives {theirs}")
                 self.differed, ours = self.differed + 1, theirs
-            self.known[u] = len(ours), ",".join(map(str, ours)), self.surfaces(ours)
+            text = self.surfaces(ours)
+            if text[1:] != back and u:
+                if self.differ == "raise":
+                    raise ValueError(f"{u!r}: decoded to {text[1:]!r}, by the library to {back!r}")
+                self.differed, text = self.differed + 1, f" {back}"
+            self.known[u] = len(ours), ",".join(map(str, ours)), text
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each text the number of its ids, the ids joined by commas, and what they decode to."""
         split = [self.units(t) for t in texts]
-        self.learn(list(set().union(*split) - self.known.keys()))
+        self.learn(new := [u for u in set().union(*split) if u not in self.known])
         known, out = self.known, []
         for p in split:
             found = [known[u] for u in p]
             text = "".join([x[2] for x in found])
             out.append((sum(x[0] for x in found), ",".join([x[1] for x in found]), text[1:]))
-        self.known = bounded(known, (u for p in split for u in p), self.entries)
+        self.known = trimmed(known, new, self.entries)
         return out
 
     def surfaces(self, ids: list[int]) -> str:
@@ -170,13 +176,8 @@ def _replaced(data: bytes) -> str:
         return data[: e.start].decode() + "�" + _replaced(data[e.start + 1 :])
 
 
-_codecs: dict[tuple, Codec] = {}
-
-
 def codec(path: str, differ: str = "library") -> Codec:
-    if (c := _codecs.get((path, differ))) is None:
-        c = _codecs[path, differ] = Codec(path, differ=differ)
-    return c
+    return resident(("sentencepiece", path, differ), lambda: Codec(path, differ=differ))
 
 
 def encode_decode(docs: DataFrame, model_path: str, differ: str = "library") -> DataFrame:

@@ -19,7 +19,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import CACHE_ENTRIES, bounded, map_batches
+from .common import CACHE_ENTRIES, map_batches, resident, trimmed
 from .pretokens import PreTokens
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -54,26 +54,21 @@ class Counter:
     def count(self, texts: list[str]) -> list[int]:
         split = [_CUT.split(t) if _TWO.search(t) or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
         first, later, length = self.first, self.later, self.length
-        for p in {p[0] for p in split} - first.keys():
+        for p in (opening := [w for w in {p[0] for p in split} if w not in first]):
             first[p] = length(p)
-        for p in set().union(*(p[1:] for p in split)) - later.keys():
+        for p in (others := [w for w in set().union(*(p[1:] for p in split)) if w not in later]):
             later[p] = length(f" {p}")
         out = [first[p[0]] + sum(map(later.__getitem__, p[1:])) for p in split]
-        self.first = bounded(first, (p[0] for p in split), self.entries)
-        self.later = bounded(later, (w for p in split for w in p[1:]), self.entries)
+        self.first, self.later = trimmed(first, opening, self.entries), trimmed(later, others, self.entries)
         return out
 
 
-_counters: dict[str, Counter] = {}
-
-
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, entries: int = CACHE_ENTRIES) -> DataFrame:
     """One row for each of docs(doc_id, text): bytes, tokens, and whether it has more than ``limit`` tokens."""
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(tokenizer_path))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if (counter := _counters.get(tokenizer_path)) is None:
-            counter = _counters[tokenizer_path] = Counter(tokenizer_path, table.value, entries)
+        counter = resident(("token_counts", tokenizer_path), lambda: Counter(tokenizer_path, table.value, entries))
         texts = [t or "" for t in batch.column("text").to_pylist()]
         n = counter.count(texts)
         return pa.RecordBatch.from_arrays(

@@ -60,3 +60,49 @@ def longest_common(a, b):
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
     return row[-1]
+
+
+class KneserNey:
+    """Interpolated Kneser-Ney over the symbols of words (a start mark, letters, an end mark), by dictionaries; words: word -> count."""
+
+    def __init__(self, words, order, symbols):
+        self.order, self.floor = order, 1 / (symbols + 1)
+        self.counts = [None] * (order + 1)
+        for n in range(1, order + 1):
+            c, wider = Counter(), set()
+            for w, k in words.items():
+                if not k:
+                    continue
+                s = f"\0{w}\1"
+                for end in range(max(1, n - 1), len(s)):
+                    gram = s[end - n + 1 : end + 1]
+                    if n == order or end == n - 1:
+                        c[gram] += k
+                    if n < order and end >= n:
+                        wider.add(s[end - n : end + 1])
+            for g in wider:
+                c[g[1:]] += 1
+            self.counts[n] = c
+        self.discount, self.total, self.kinds = [0] * (order + 1), [None] * (order + 1), [None] * (order + 1)
+        for n in range(1, order + 1):
+            once, twice = (sum(v == k for v in self.counts[n].values()) for k in (1, 2))
+            self.discount[n] = once / (once + 2 * twice) if once and twice else 0.5
+            self.total[n], self.kinds[n] = Counter(), Counter()
+            for g, v in self.counts[n].items():
+                self.total[n][g[:-1]] += v
+                self.kinds[n][g[:-1]] += 1
+
+    def p(self, gram):
+        n = len(gram)
+        if not n:
+            return self.floor
+        lower = self.p(gram[1:])
+        total = self.total[n][gram[:-1]]
+        if not total:
+            return lower
+        d = self.discount[n]
+        return max(self.counts[n][gram] - d, 0) / total + d * self.kinds[n][gram[:-1]] / total * lower
+
+    def score(self, word):
+        s = f"\0{word}\1"
+        return sum(np.log(self.p(s[max(0, end - self.order + 1) : end + 1])) for end in range(1, len(s)))

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from gridspark.llm import binary_records, language_id, license_scans, sentencepiece_bpe, token_counts, url_filters
+from gridspark.llm import binary_records, common, language_id, license_scans, sentencepiece_bpe, token_counts, url_filters
+
+from . import brute
 
 R = random.Random(5)
 ODD = [None, "", " ", "a", "  a", "a  b ", "\n\n x\t\ty ", "a<|endoftext|> b", "x\x1c y", "a \x1cb", "don't 'S I'LL", "ſ K ﬁ İ", "é é e\u0301", "日本語 テスト ١٢٣", "😀 😀😀", "ΑΣ ΟΔΟΣ", "▁", "a▁ b", "<s> <0x41>", "x" * 3000, "the " * 4000, "a", "a"]
@@ -45,6 +47,23 @@ def test_small_caches_change_nothing():
     assert token_counts.Counter(path, {}, 3).count(texts) == token_counts.Counter(path, token_counts.frequent_lengths(path)).count(texts)
 
 
+def test_caches_keep_no_long_words_and_start_afresh():
+    texts = ["x" * 100_000 + " a", *(f"w{i} {'y' * i}" for i in range(200))]
+    counter = token_counts.Counter(public_tokenizers.path("byte_bpe_50k.json"), {}, 50)
+    encoder = binary_records.Encoder(public_tokenizers.path("word_bpe_49k.json"), 50)
+    codec = sentencepiece_bpe.Codec(public_tokenizers.path("piece_bpe_32k.model"), 50)
+    judge = language_id.Judge(language_id.train(["ab", "ba"], np.array([[1.0, 0.0], [0.0, 1.0]]), languages=["x", "y"]), 50)
+    for work in (counter.count, encoder.encode, codec.encode, judge.totals):
+        whole = work(texts)
+        again = [work([t]) for t in texts]
+        if work == judge.totals:
+            assert np.allclose(whole[0], np.vstack([a[0] for a in again]))
+        else:
+            assert whole == [a[0] for a in again]
+    for known in (counter.first, counter.later, counter.tokens.known, encoder.known, encoder.tokens.known, codec.known, judge.row):
+        assert all(len(w) <= common.CACHE_KEY for w in known) and len(known) <= 60
+
+
 def test_binary_records(spark, docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
@@ -59,6 +78,41 @@ def test_binary_records(spark, docs, empty):
     assert binary_records.read_records(spark, folder, binary_records.write_records(empty, path, folder)).count() == 0
 
 
+def test_records_by_their_index(spark, docs, monkeypatch):
+    """Files are cut by bytes, chunks and shuffled readers seek by the index, and an index that differs is found."""
+    monkeypatch.setattr(binary_records, "FILE_BYTES", 4000)
+    monkeypatch.setattr(binary_records, "CHUNK", 3)
+    path, folder = public_tokenizers.path("word_bpe_49k.json"), binary_records.new_path(spark, "test")
+    writer, encoder = binary_records.Writer(folder, 0), binary_records.Encoder(path)
+    rows = [writer.add([i], encoder.encode([t or ""]), encoder.width) for i, t in enumerate(TEXTS)]
+    files = [r for r in [*rows, writer.close()] if r]
+    assert len(files) > 3 and sum(r["n_docs"] for r in files) == len(TEXTS)
+    manifest, start = [], 0
+    for r in files:
+        manifest.append((r["file"], start, r["n_docs"]))
+        start += r["n_tokens"]
+    t = Tokenizer.from_file(path)
+    want = {i: [*t.encode(x or "", add_special_tokens=False).ids, 1] for i, x in enumerate(TEXTS)}
+    got = binary_records.read_records(spark, folder, manifest).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == [len(want[i]) for i in range(len(TEXTS))] and got[-1].start + got[-1].n_tokens == start
+    mixed = [(r.doc_id, r.ids) for r in binary_records.read_shuffled(spark, folder, manifest, 5).collect()]
+    assert dict(mixed) == want and len(mixed) == len(want) and [i for i, _ in mixed] != sorted(want)
+    assert mixed == [(r.doc_id, r.ids) for r in binary_records.read_shuffled(spark, folder, manifest, 5).collect()]
+    name = manifest[0][0]
+    with writer.store.open_output_stream(f"{writer.root}/{name}.index") as f:
+        f.write(np.zeros(2 * (manifest[0][2] + 1), "<u8").tobytes())
+    with pytest.raises(ValueError):
+        list(binary_records.read_chunk(folder, name, 0, manifest[0][2]))
+
+
+def test_repeated_ids(spark):
+    path, folder = public_tokenizers.path("word_bpe_49k.json"), binary_records.new_path(spark, "test")
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c"), (1, None), (0, "d e f")], "doc_id long, text string")
+    rows = binary_records.read_records(spark, folder, binary_records.write_records(docs, path, folder)).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None, 0, 1, 1, 1] and sorted(r.n_tokens for r in rows) == [1, 2, 3, 3, 4]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:], strict=False))
+
+
 def test_damaged_records_are_found():
     data = binary_records.frame(7, b"\x01\x00\x02\x00", 2)
     assert binary_records.read_record(io.BytesIO(b"xx" + data), 2)[0] == 7
@@ -172,14 +226,67 @@ All rights reserved.
 Redistribution and use in source and binary forms, with or without
 modification, are permitted provided that the following conditions are met:
 
-1. Redistributions of source code must retain the above copyright notice.
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+BSD3 = BSD + """
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE FOR ANY DAMAGES.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS.
+"""
+GPL_FULL = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
 """
 
 
+def test_other_licences():
+    of = lambda t: license_scans.licenses([i for _, i in license_scans.sentence_ids(t)])
+    cases = {
+        BSD3: ["BSD-3-Clause"], BSD3.replace("3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n\n", ""): ["BSD-2-Clause"],
+        LGPL: ["LGPL-2.1-or-later"], MPL: ["MPL-2.0"], ISC: ["ISC"], GPL_FULL: ["GPL-3.0-only"],
+        GPL.replace("version 3", "version 2"): ["GPL-2.0-or-later"], GPL.replace("GNU General", "GNU Affero General"): ["AGPL-3.0-or-later"],
+        "Licensed under the Apache License 2.0.": ["Apache-2.0"], "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.": [],
+        "This is free and unencumbered software released into the public domain.": ["Unlicense"], MIT + "\n\n" + APACHE: ["MIT", "Apache-2.0"],
+    }
+    for text, want in cases.items():
+        assert of(text) == want, text
+    # a part of a notice that two licences share names neither
+    assert of("Without even the implied warranty of merchantability or fitness for a particular purpose.") == []
+
+
 def test_verbatim_notices():
     ids = lambda t: [i for _, i in license_scans.sentence_ids(t)]
     apache = ["apache2.short", "apache2.may-not", "apache2.copy-at", "apache2.url", "apache2.as-is", "apache2.see"]
-    want = [(MIT, ["MIT"], ["mit.title", "mit.grant", "mit.notice", "mit.as-is"]), (APACHE, ["Apache-2.0"], apache), (GPL, ["GPL-3.0-or-later"], ["gpl.redistribute-3", "gpl.warranty", "gpl.implied"]), (BSD, ["BSD"], ["bsd.redistribution"])]
+    want = [(MIT, ["MIT"], ["mit.title", "mit.grant", "mit.notice", "mit.as-is"]), (APACHE, ["Apache-2.0"], apache), (GPL, ["GPL-3.0-or-later"], ["gpl.redistribute-3", "gpl.warranty", "gpl.implied", "gpl.details"]), (BSD, ["LicenseRef-BSD"], ["bsd.redistribution", "bsd.source"])]
     for text, names, every in want:
         for way in (text, "".join(f"# {line}".rstrip() + "\n" for line in text.splitlines()).replace("# ", " * "), f"Some text.\n\n{text}\nMore."):
             assert ids(way) == every or "* " in way and set(ids(way)) <= set(every)
@@ -189,6 +296,27 @@ def test_verbatim_notices():
         assert ids(wording) == [license_scans._IDS[wording]]
 
 
+def test_sentences_are_found_wherever_they_stand():
+    """Known wordings among other sentences, in any case, wrapped, marked as comments: exactly those, in order."""
+    r = random.Random(22)
+    noise = ["The quick fox runs", "A license plate is not a licence", "Nothing is granted here", "See the map for details", "All rights reserved"]
+    wordings = [w for w in license_scans._IDS if "http" not in w]
+    for _ in range(300):
+        chosen = [r.choice(wordings) if r.random() < 0.4 else r.choice(noise) for _ in range(r.randrange(1, 9))]
+        want = [license_scans._IDS[w] for w in chosen if w in license_scans._IDS]
+        shown = []
+        for w in chosen:
+            w = r.choice((str.upper, str.capitalize, str))(w)
+            if r.random() < 0.5:
+                words = w.split()
+                w = " ".join(words[: len(words) // 2]) + "\n" + " ".join(words[len(words) // 2 :]) if len(words) > 3 else w
+            shown.append(w)
+        text = "".join(w + r.choice((".\n\n", ".  ", ". ", "!\n\n")) for w in shown)
+        got = [i for _, i in license_scans.sentence_ids(text)]
+        assert set(want) <= set(got), text
+        assert set(got) <= set(want) | {license_scans._IDS[x] for x in license_scans._IDS if any(x in license_scans.normalised(w) for w in shown)}, text
+
+
 def test_spdx_expressions():
     of = lambda t: license_scans.licenses([i for _, i in license_scans.sentence_ids(t)])
     assert of("// SPDX-License-Identifier: MIT OR Apache-2.0\n") == ["MIT", "Apache-2.0"]
@@ -211,6 +339,22 @@ def test_kneser_ney_is_a_distribution():
     assert np.all(total <= 1 + 1e-6) and np.all(total > 0.5)
 
 
+def test_scores_equal_plain_kneser_ney():
+    r = random.Random(21)
+    words = sorted({"".join(r.choice("abcdé") for _ in range(r.randrange(1, 7))) for _ in range(60)})
+    counts = np.array([[r.choice((0, 0, 1, 1, 2, 5)), r.choice((0, 1, 2))] for _ in words], float)
+    keep = counts.sum(axis=1) > 0
+    words, counts = [w for w, k in zip(words, keep, strict=True) if k], counts[keep]
+    m = language_id.train(words, counts, 4)
+    symbols = len({c for w in words for c in w}) + 1
+    plain = [brute.KneserNey(dict(zip(words, counts[:, k].astype(int).tolist(), strict=True)), 4, symbols) for k in (0, 1)]
+    asked = [*words, "zz", "abz", "q", "a" * 12, "éab"]
+    got, n = m.score(asked)
+    for i, w in enumerate(asked):
+        assert n[i] == len(w) + 1
+        assert np.allclose(got[i], [p.score(w) for p in plain], atol=1e-4), w
+
+
 def test_language_id(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     extra = spark.createDataFrame([(-1, None, "en"), (-2, "12 !?", "en"), (-3, "", None), (None, "the of", "en")], docs.schema)
@@ -227,6 +371,26 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.identify(extra, language_id.fit(docs.limit(0))).collect()} == {"und"}
 
 
+def test_other_languages_and_gibberish_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    r = random.Random(3)
+    noise = [" ".join("".join(r.choice("bcdfghjklmnpqrstvwxz") for _ in range(r.randrange(2, 9))) for _ in range(60)) for _ in range(5)]
+    hungarian = "minden ember szabadon születik és egyenlő méltósága és joga van az emberek ésszel és lelkiismerettel bírván egymással szemben testvéri szellemben kell hogy viseltessenek"
+    rows = [(10_000 + i, t, None) for i, t in enumerate([*noise, hungarian])]
+    model = language_id.fit(docs)
+    out = {x.doc_id: x for x in language_id.identify(spark.createDataFrame(rows, docs.schema), model).collect()}
+    assert all(x.rejected for x in out.values())
+    plain = language_id.identify(docs, model).where("not rejected and lang_pred = lang").agg(F.expr("percentile(lang_score, 0.01)")).first()[0]
+    assert max(x.lang_score for x in out.values()) < plain
+
+
+def test_scores_do_not_grow_with_length():
+    words = ["ab", "abc", "ba", "cab", "bb", "a"]
+    m = language_id.train(words, np.array([[3, 0], [1, 1], [2, 5], [1, 0], [0, 2], [4, 4]], float), languages=["x", "y"])
+    _, score, _ = language_id.Judge(m).judge(["ba bb", " ".join(["ba bb"] * 500)])
+    assert abs(score[0] - score[1]) < 1e-9 and 0.5 < score[0] < 1
+
+
 def test_texts_outside_the_sample_stay(spark):
     """With well over 400 texts a language, ordinary documents that the model was not trained on are not rejected."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
