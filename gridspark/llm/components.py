@@ -1,6 +1,6 @@
 """Connected components of edge tables, by alternating large and small stars.
 
-Nothing is gathered on the driver but counts and check sums.  Groups are reduced by aggregation and joined back, so that
+Nothing is gathered on the driver but whether a round is the last.  Groups are reduced by aggregation and joined back, so that
 a hub's neighbours can be split among tasks.  Each round is written to the shared folder.
 """
 
@@ -10,24 +10,30 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 
 
 def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """(id, root) for every id that edges(a long, b long) touch: root is the smallest id that links reach."""
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), tag)
-    sums = None
-    while True:
-        told = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if told == sums or not told.n:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(now.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()
-        sums = told
+    while not stars(now):
+        # the least neighbours are written before they are joined: both sides are then plain shuffles, and Spark can split a hub
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), tag)
+        large = cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), tag)
+        discard(now, least)
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")), tag)
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         now = cut(small.distinct(), tag)
+        discard(large, least)
+    return now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(now.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()
+
+
+def stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u: then each component is a star around its smallest id."""
+    if not edges.groupBy("u").count().where("count > 1").isEmpty():
+        return False
+    return edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
 
 
 class Forest:
