@@ -15,9 +15,13 @@ earlier in the same one.  Strings never cross documents and are judged on the in
    search in sorted fingerprints (two 64-bit hashes).  All but a class's earliest place are repeats.
 4. The repeats go back to the blocks of their documents, which drop the bytes that they cover.
 
+Frequent strings make poor anchors: what many documents share would send a segment of each of them, with the text around
+it, to one shard.  So a sample of documents tells which GRAM-byte strings are frequent, and such a string names a place only
+where all others are frequent too.  Which strings those are moves places between shards; it changes no result.
+
 Defined results: a null text is empty; rows with null doc_id come first; rows that share a doc_id are different documents
-in the order of their texts; an empty table gives an empty result.  In the text that ``remove_repeats`` returns, bytes of
-characters that were cut are dropped.
+in the order of a hash of their texts; an empty table gives an empty result; other columns stay, but for those that have
+the names of the results.  In the text that ``remove_repeats`` returns, bytes of characters that were cut are dropped.
 """
 
 from __future__ import annotations
@@ -31,12 +35,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, mix64, slices
+from .common import bounded_batches, cut, mix64, slices
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 24
 #: Bytes of text in a block of documents, and of segments in a part of a shard.
 BLOCK_BYTES, PART_BYTES = 8 << 20, 2 << 20
+#: Frequent strings: bytes of text that the sample has (or this share of the corpus, if that is more), how often a string
+#: occurs in the corpus by the sample (and at least in it), and how many are broadcast.  Only strings whose hash lies below
+#: LOW are asked for; the others are seldom the smallest.
+SAMPLE_BYTES, SAMPLE_SHARE, OFTEN, OFTEN_LEAST, MOST = 32 << 20, 1 / 256, 2000, 64, 1 << 18
+LOW = np.uint64(1 << 62)
+_TOP = np.uint64(1 << 63)
+#: Names of the columns that the steps add to the documents.
+UID, BLOCK = "__uid", "__block"
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _ODD = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(77)) | np.uint64(1)
 NAMES = "bucket int, name binary, uid binary, start binary, size binary, told binary"
@@ -59,18 +71,27 @@ def slide(x: np.ndarray, window: int, least: np.ufunc) -> np.ndarray:
     return least(x[: len(x) - (window - width)], x[window - width :]) if window > width else x
 
 
-def runs(text: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def grams(text: np.ndarray) -> np.ndarray:
+    """Hashes below 2**63 of the GRAM-byte strings."""
+    x8 = joined(joined(joined(_BYTE[text], 1, 0), 2, 1), 4, 2)
+    x16 = joined(x8, 8, 3)
+    return mix64(x16[:-8] * _ODD[4] + x8[16:]) >> np.uint64(1)
+
+
+def runs(text: np.ndarray, size: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of places with one name, for texts one after another: (name, text's number, first place within it, places, own).
 
-    A place's name is the smallest hash of a GRAM-byte string inside the LENGTH bytes from there.  own: whether the run
-    itself has its name twice, so that it can repeat within.
+    A place's name is the smallest hash of a GRAM-byte string inside the LENGTH bytes from there; those in often (sorted)
+    come after all others.  own: whether the run itself has its name twice, so that it can repeat within.
     """
     none = np.zeros(0, np.int64)
     if len(text) < LENGTH:
         return none.astype(np.uint64), none, none, none, none.astype(bool)
-    x8 = joined(joined(joined(_BYTE[text], 1, 0), 2, 1), 4, 2)
-    x16 = joined(x8, 8, 3)
-    gram = mix64(x16[:-8] * _ODD[4] + x8[16:])
+    gram = grams(text)
+    if len(often):
+        low = np.flatnonzero(gram < LOW)
+        at = np.minimum(np.searchsorted(often, gram[low]), len(often) - 1)
+        gram[low[often[at] == gram[low]]] |= _TOP
     window = LENGTH - GRAM + 1
     name = slide(gram, window, np.minimum)
     first = np.cumsum(size) - size
@@ -110,22 +131,22 @@ def batch_of(rows: list[dict], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(name, b"") for r in rows], pa.int32() if kind == "int" else pa.binary()) for name, kind in fields], names=[f[0] for f in fields])
 
 
-def send_names(parts: int):
+def send_names(parts: int, often):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", PART_BYTES):
+        for batch in slices(batches, "text", limit=PART_BYTES):
             data = [t.encode() for t in batch.column("text").to_pylist()]
             text = np.frombuffer(b"".join(data), np.uint8)
-            name, of, start, size, own = runs(text, np.array([len(x) for x in data], np.int64))
+            name, of, start, size, own = runs(text, np.array([len(x) for x in data], np.int64), often.value)
             if not len(name):
                 continue
-            uid = batch.column("uid").to_numpy()[of]
+            uid = batch.column(UID).to_numpy()[of]
             order = np.argsort(name, kind="stable")
             new = np.ones(len(name), bool)
             new[1:] = name[order[1:]] != name[order[:-1]]
             first = np.flatnonzero(new)
-            often = (np.diff(np.append(first, len(name))) > 1) | own[order[first]]
+            twice = (np.diff(np.append(first, len(name))) > 1) | own[order[first]]
             told = np.full(len(name), 2, np.uint8)  # a name's other runs, which are known to repeat
-            told[order[first]] = often
+            told[order[first]] = twice
             bucket = np.where(told == 2, (mix64(uid.view(np.uint64)) + start.astype(np.uint64)) % np.uint64(parts), mix64(name) % np.uint64(parts)).astype(np.int32)
             columns = {"name": name, "uid": uid.astype(np.int64), "start": start.astype(np.uint32), "size": size.astype(np.uint32), "told": told}
             yield batch_of([{"bucket": k, **c} for k, c in dealt(bucket, columns)], NAMES)
@@ -157,7 +178,7 @@ def cut_out(parts: int):
         rows = wanted.to_pylist()
         out = []
         if rows and docs.num_rows:
-            text = {u: t.encode() for u, t in zip(docs.column("uid").to_pylist(), docs.column("text").to_pylist(), strict=True)}
+            text = {u: t.encode() for u, t in zip(docs.column(UID).to_pylist(), docs.column("text").to_pylist(), strict=True)}
             name, uid, start, size = (column(rows, c, k) for c, k in (("name", "<u8"), ("uid", "<i8"), ("start", "<u4"), ("size", "<u4")))
             order = np.lexsort((start, uid))
             name, uid, start, end = name[order], uid[order], start[order].astype(np.int64), start[order].astype(np.int64) + size[order] + LENGTH - 1
@@ -264,7 +285,7 @@ def repeats(size: np.ndarray, data: bytes, place: np.ndarray, limit: int = PART_
     return marks
 
 
-def judge(blocks: int):
+def judge(blocks: int, often):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         name, uid, start, size = (column(rows, c, k) for c, k in (("name", "<u8"), ("uid", "<i8"), ("start", "<u4"), ("size", "<u4")))
@@ -282,7 +303,7 @@ def judge(blocks: int):
         _, of, n = np.unique(name[keep], return_inverse=True, return_counts=True)
         alone = n[of] == 1
         lone = keep[alone]
-        _, of, _, _, own = runs(np.frombuffer(b"".join([x for x, one in zip(seen, alone.tolist(), strict=True) if one]), np.uint8), size[lone].astype(np.int64))
+        _, of, _, _, own = runs(np.frombuffer(b"".join([x for x, one in zip(seen, alone.tolist(), strict=True) if one]), np.uint8), size[lone].astype(np.int64), often.value)
         order = np.concatenate([keep[~alone], lone[np.unique(of[own])]])
         order = order[np.argsort(name[order], kind="stable")]  # so that a name's segments lie in as few parts as can be
         # starts in the order of (uid, place): documents are numbered, and lie farther apart than any is long
@@ -322,7 +343,7 @@ def drop(kept: list[str], with_text: bool):
         uid, start, end = (column(rows, c, k) for c, k in (("uid", "<i8"), ("start", "<u4"), ("end", "<u4")))
         order = np.argsort(uid, kind="stable")
         uid, start, end = uid[order], start[order], end[order]
-        mine = docs.column("uid").to_numpy()
+        mine = docs.column(UID).to_numpy()
         low, high = np.searchsorted(uid, mine), np.searchsorted(uid, mine, side="right")
         out = []
         for t, a, b in zip(docs.column("text").to_pylist(), low, high, strict=True):
@@ -343,27 +364,52 @@ def prime(n: int) -> int:
     return n
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """docs with uid, ascending with doc_id: doc_id itself where no two rows share it, else new numbers."""
+def numbered(docs: DataFrame, name: str = UID) -> DataFrame:
+    """docs with a number of each row, ascending with doc_id: doc_id itself where no two rows share it, else new ones."""
     if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null or doc_id < 0").isEmpty():
-        return docs.withColumn("uid", F.col("doc_id").cast("long"))
-    ordered = docs.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return cut(ordered.withColumn("uid", F.monotonically_increasing_id()), "numbered")
+        return docs.withColumn(name, F.col("doc_id").cast("long"))
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
+    return cut(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
+def frequent(docs: DataFrame, total: int) -> np.ndarray:
+    """Sorted hashes (below LOW) of strings that occur often in the corpus, by a sample of docs(__uid, text)."""
+    share = min(1.0, max(SAMPLE_SHARE, SAMPLE_BYTES / max(total, 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", limit=PART_BYTES):
+            data = [t.encode() for t in batch.column("text").to_pylist()]
+            text = np.frombuffer(b"".join(data), np.uint8)
+            if len(text) < GRAM:
+                continue
+            gram = grams(text)
+            size = np.array([len(x) for x in data], np.int64)
+            inside = (np.arange(len(text)) + GRAM <= np.repeat(np.cumsum(size), size))[: len(gram)]
+            name, n = np.unique(gram[inside & (gram < LOW)], return_counts=True)
+            # what a slice has once adds little to what is frequent
+            yield pa.RecordBatch.from_arrays([pa.array(name[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["name", "n"])
+
+    drawn = F.pmod(F.xxhash64(UID, F.lit(6)), F.lit(1 << 30)) / float(1 << 30) < share
+    counted = docs.where(drawn).select("text").mapInArrow(run, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") >= max(OFTEN_LEAST, OFTEN * share)).orderBy(F.desc("n"), "name").limit(MOST).select("name").toArrow()
+    return np.sort(rows.column("name").to_numpy().astype(np.uint64))
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans, kept_sha256 and kept_text beside its columns; clashing names are replaced."""
-    kept = [c for c in docs.columns if c not in ("uid", "block", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")]
+    bounded_batches(docs.sparkSession)
+    kept = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")]
     docs = numbered(docs.select(kept).withColumn("text", F.coalesce("text", F.lit(""))))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    often = docs.sparkSession.sparkContext.broadcast(frequent(docs, total))
     blocks = prime(max(16, total // BLOCK_BYTES))
-    blocked = docs.withColumn("block", F.pmod("uid", F.lit(blocks)).cast("int"))
-    told = docs.select("uid", "text").mapInArrow(send_names(blocks), NAMES)
+    blocked = docs.withColumn(BLOCK, F.pmod(UID, F.lit(blocks)).cast("int"))
+    told = docs.select(UID, "text").mapInArrow(send_names(blocks, often), NAMES)
     wanted = told.groupBy("bucket").applyInArrow(repeated(blocks), WANTED)
-    segments = blocked.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(cut_out(blocks), SEGMENTS)
-    spans = segments.groupBy("shard").applyInArrow(judge(blocks), SPANS)
+    segments = blocked.groupBy(BLOCK).cogroup(wanted.groupBy("block")).applyInArrow(cut_out(blocks), SEGMENTS)
+    spans = segments.groupBy("shard").applyInArrow(judge(blocks, often), SPANS)
     fields = T.StructType([*blocked.select(kept).schema.fields, *T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)])
-    return blocked.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(drop(kept, with_text), fields)
+    return blocked.groupBy(BLOCK).cogroup(spans.groupBy("block")).applyInArrow(drop(kept, with_text), fields)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
