@@ -146,11 +146,60 @@ def test_traversal_is_in_order_and_bounds_hold():
     seen = list(multi_index.traverse(a, b, 1.1))
     sums = [a[i] + b[j] for i, j in seen]
     assert sums == sorted(sums) and len(seen) == len(set(seen)) == (a[:, None] + b <= 1.1).sum()
-    x, c = rng.standard_normal((50, 6)), rng.standard_normal((8, 6))
-    low, near = multi_index.bounds(x, c), multi_index.distances(x, c).argmin(axis=1)
-    for i in range(50):
-        for j in range(50):
-            assert low[i, near[j]] <= ((x[i] - x[j]) ** 2).sum() + 1e-9
+    assert len(list(multi_index.traverse(a, b, float("inf")))) == 63
+
+
+def near_pairs(rng, n, dim, cosine):
+    """n unit vectors, and behind them as many at about the cosine."""
+    x = multi_index.units(rng.standard_normal((n, dim)))
+    turn = rng.standard_normal((n, dim))
+    turn -= (turn * x).sum(axis=1, keepdims=True) * x
+    return np.vstack([x, cosine * x + np.sqrt(1 - cosine**2) * multi_index.units(turn)])
+
+
+def test_reach_covers_the_target_recall():
+    rng = np.random.default_rng(12)
+    x = near_pairs(rng, 4000, 64, 0.931)
+    books = multi_index.codebook(x[:4000, :32], 32), multi_index.codebook(x[:4000, 32:], 32)
+    most = multi_index.reach(x[:4000], books, 0.93, 0.999)
+    d = multi_index.halves(x, books)
+    home = [y.argmin(axis=1) for y in d]
+    mine, theirs = [y[:4000] for y in d], [y[4000:] for y in d]
+    found = np.minimum(multi_index.excess(mine, [h[4000:] for h in home]), multi_index.excess(theirs, [h[:4000] for h in home])) <= most
+    assert found.mean() > 0.997 and multi_index.reach(x[:10], books, 0.93, 1.0) == np.inf
+    visited = ((d[0] - d[0].min(axis=1, keepdims=True))[:200, home[0]] + (d[1] - d[1].min(axis=1, keepdims=True))[:200, home[1]] <= most).mean()
+    assert visited < 1 / 3
+
+
+@pytest.fixture(scope="module")
+def linked(spark, tmp_path_factory):
+    """embeddings with links, near and just at the least cosine, within labels and across them; and a hot label."""
+    rng = np.random.default_rng(13)
+    x = near_pairs(rng, 500, 64, 0.935)
+    x = np.vstack([x, x[:100] + 0.01 * rng.standard_normal((100, 64)), np.repeat(x[:3], 30, axis=0), x[7] + 0.03 * rng.standard_normal((80, 64))])
+    label = np.concatenate([np.arange(500) % 3, np.arange(500) % 3, np.arange(100) % 4, np.zeros(170)]).astype(int)
+    rows = [(int(i), v.astype("float32").tolist(), int(k)) for i, v, k in zip(rng.permutation(len(x)), x, label, strict=True)]
+    folder = str(tmp_path_factory.mktemp("linked"))
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+    return folder
+
+
+def test_links_equal_the_sql(spark, linked):
+    import duckdb
+
+    duck = duckdb.connect()
+    duck.sql(f"create view embeddings as from '{linked}/embeddings.parquet/*.parquet'")
+    want = sorted(duck.sql(queries.SQL["op2_multi_index"]).fetchall())
+    got = sorted(tuple(r) for r in queries.QUERIES["op2_multi_index"](spark, linked).select("vec_id", "n_links", "component_id", "kept").collect())
+    assert sum(n for _, n, *_ in want) > 1000 and got == want
+
+
+def test_rows_that_share_a_vec_id(spark):
+    v, w = [1.0, 0.0, 0.2, 0.0], [0.0, 1.0, 0.0, 0.3]
+    rows = [(1, v, 0), (1, w, 1), (3, [1.0, 0.01, 0.2, 0.0], 0), (1, v, 0), (5, w, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in multi_index.near_vectors(df).collect())
+    assert got == [(1, 0, 1, True), (1, 2, 1, True), (1, 2, 1, True), (3, 2, 1, False), (5, 0, 5, True)]
 
 
 def test_longest_common_subsequence():
@@ -221,14 +270,188 @@ def test_leaks_make_no_stop_words(spark):
     assert {x.doc_id for x in decontamination.decontaminate(spark.createDataFrame([(d, "a zq, xv." if d % 2 else "a b") for d in range(100)], schema), short).collect()} == set(range(1, 100, 2))
 
 
-def test_pipeline(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    out = corpus_pipeline.run(spark, SF)
+def test_leaks_at_any_rate(spark):
+    """One item word for word in 1 to all of 100 documents, each of 600 words of its own, and a single leak among long documents."""
+    r = random.Random(14)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrst") for _ in range(6))
+    item = [word() for _ in range(30)]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(word() for _ in range(30)))], "item_id long, text string")
+    for n in (1, 11, 100):
+        rows = [(d, " ".join([*(word() for _ in range(300)), *(item if d < n else []), *(word() for _ in range(300))])) for d in range(100)]
+        found = {(x.doc_id, x.item_id) for x in decontamination.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+        assert found == {(d, 7) for d in range(n)}
+    # every hashed feature is frequent
+    rows = [(d, " ".join([*(word() for _ in range(20_000)), *([w for k, w in enumerate(item) if k % 6] if d == 3 else [])])) for d in range(30)]
+    found = decontamination.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert [(x.doc_id, x.item_id) for x in found] == [(3, 7)] and found[0].cosine > 0
+
+
+def test_retrieval_against_brute_force(spark):
+    """Paraphrases with words dropped and replaced: what every place of every document holds of every item, by the plain subsequence."""
+    r = random.Random(15)
+    word = lambda: r.choice(vocabulary)
+    vocabulary = ["".join(r.choice("abcdefghijklmno") for _ in range(r.randrange(3, 8))) for _ in range(3000)]
+    items = {i: [word() for _ in range(r.randrange(20, 40))] for i in range(30)}
+    rows = []
+    for d in range(150):
+        words = [word() for _ in range(80)]
+        if d % 2:
+            own, drop = items[d % 30], r.choice((0.05, 0.2, 0.3))
+            words[40:40] = [w if r.random() > drop / 2 else word() for w in own if r.random() > drop / 2]
+        rows.append((d, " ".join(words)))
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    found = {(x.doc_id, x.item_id) for x in decontamination.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    best = {(d, i): max(brute.longest_common(t, x.split()[a : a + 2 * len(t)]) for a in range(0, 80, 10)) / len(t) for d, x in rows for i, t in items.items() if len(set(t) & set(x.split())) > 0.5 * len(t)}
+    sure = {k for k, v in best.items() if v >= 0.66}
+    assert len(sure) > 60 and len(sure - found) <= 0.1 * len(sure) and all(best.get(k, 0) >= 0.55 for k in found)
+
+
+CLASH = "doc_id long, text string, lang string, n_chars long, uid string, block int, n_removed int, rejected boolean, ids string, __row int"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, lang, None if t is None else len(t), f"u{k}", k, -1, None, "x", 5) for k, (i, t, lang) in enumerate(rows)], CLASH)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """A small corpus with planted copies, leaks, repeats, clean rows, rows without id or text, and repeated ids."""
+    r = random.Random(16)
+    base = [tuple(x) for x in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").orderBy("doc_id").collect()]
+    items = [x.text for x in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect()]
+    clean = lambda n: " ".join(r.choice(words) for _ in range(n))
+    words = sorted({w for _, t, lang in base if lang == "en" and t for w in t.lower().split() if w.isascii() and w.isalpha() and len(w) > 3})
+    prose = [clean(120) for _ in range(6)]
+    shared = clean(70)
+    rows = [*base]
+    rows += [(50_000, prose[0], "en"), (50_001, prose[0], "en"), (50_002, prose[0] + " " + clean(2), "en")]  # copies
+    rows += [(50_010, f"{prose[1]} {items[0]} {clean(60)}", "en"), (50_011, prose[2], "en")]  # a leak, clean
+    rows += [(50_020, f"{prose[3]} {shared}", "en"), (50_021, f"{prose[4]} {shared} {clean(30)}", "en")]  # a repeated passage
+    rows += [(50_030, None, "en"), (50_031, "", "en"), (None, prose[5], "en"), (None, clean(90), "en"), (50_040, clean(100), "en"), (50_040, f"{clean(100)} {items[1]}", "en")]
+    rows += [(50_050, same := clean(80), "en"), (50_050, same, "en")]
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    clashing(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, rows
+
+
+def test_pipeline_against_brute_force(spark, corpus):
+    """Each stage's rows from the rows of the stage before it, by plain code; the columns stay whatever their names."""
+    folder, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    items = [x.text for x in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    names = docs.columns
+    before = [tuple(x) for x in docs.collect()]
+    order = lambda x: (x[0] is not None, x[0] or 0)
+    for name, stage in corpus_pipeline.STAGES:
+        path = f"{folder}/{name}"
+        stage(spark, docs, folder).write.parquet(path)
+        docs = spark.read.parquet(path)
+        after = [tuple(x) for x in docs.collect()]
+        if name == "language_id":
+            assert set(after) <= set(before) and all(any(c.isalpha() for c in x[1] or "") for x in after)
+            assert {x[0] for x in before if x[0] and x[0] >= 50_000 and x[1]} == {x[0] for x in after if x[0] and x[0] >= 50_000}
+        elif name == "minhash":
+            root = brute.near_components([(k, x[1]) for k, x in enumerate(before)])
+            groups = {}
+            for k, x in enumerate(before):
+                groups.setdefault(root[k], []).append(x)
+            assert len(after) == len(groups) and set(after) <= set(before)
+            left = {x[4] for x in after}
+            for rows in groups.values():
+                stays = [x for x in rows if x[4] in left]
+                assert len(stays) == 1 and order(stays[0]) == min(map(order, rows))
+        elif name == "suffix_dedup":
+            assert sorted(x[4] for x in after) == sorted(x[4] for x in before)
+            texts = {x[4]: x[1] for x in after}
+            ids = [x[0] for x in before if x[0] is not None]
+            rows = sorted(before, key=order)
+            if len(ids) == len(set(ids)) == len(before):
+                want = brute.without_repeats([(x[4], x[1]) for x in rows])
+                assert {u: len(t.encode()) for u, t in texts.items()} == {u: n - gone for u, (n, gone, *_) in want.items()} or all(abs(len(texts[u].encode()) - n + gone) < 4 for u, (n, gone, *_) in want.items())
+            assert all(x[3] == len(x[1]) for x in after)
+        elif name == "decontamination":
+            words = Words()
+            held = lambda t: any(words.hashes([i])[0].tobytes() in words.hashes([t])[0].tobytes() for i in items)
+            assert set(after) <= set(before) and not any(held(x[1]) for x in after)
+            gone = set(before) - set(after)
+            hs = [words.hashes([i])[0].tolist() for i in items]
+            for x in gone:
+                text = words.hashes([x[1]])[0].tolist()
+                assert any(brute.longest_common(i, text) >= 0.6 * len(i) for i in hs)
+            assert not {x[0] for x in gone} & {50_000, 50_011, 50_020, 50_021} and 50_040 in {x[0] for x in after}
+        else:
+            assert docs.columns == [*(c for c in names if c != "ids"), "n_tokens", "ids", "decoded"]
+            assert len(after) == len(before) and all(r.decoded == r.text.replace("▁", " ") for r in docs.collect())
+            break
+        assert docs.columns == names and after
+        before = after
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "minhash", "suffix_dedup", "decontamination", "sentencepiece"]
-    assert out.columns == [*docs.columns, "n_tokens", "ids", "decoded"]
-    got = out.collect()
-    assert 0 < len(got) < docs.count() and len({r.doc_id for r in got}) == len(got)
-    assert all(r.n_chars == len(r.text) and r.decoded == r.text.replace("▁", " ") for r in got)
+    assert corpus_pipeline.run(spark, folder).count() == len(after)
+
+
+def test_stages_on_odd_rows(spark, corpus):
+    """Null and empty texts, repeated rows, an empty table, and no rows but such; defined results of each stage."""
+    folder, _ = corpus
+    odd = clashing(spark, [(1, None, None), (2, "", "en"), (2, "", "en"), (None, "... 12", None), (3, "w" * 30_000, "en")])
+    left = {"language_id": 1, "minhash": 5, "suffix_dedup": 5, "decontamination": 5, "sentencepiece": 5}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd, folder).count() == left[name] or name == "language_id"
+        assert stage(spark, odd.limit(0), folder).count() == 0
+    plain = spark.createDataFrame([(1, "a b c", "en")], "doc_id long, text string, lang string").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, plain, folder).columns == plain.columns
+
+
+def test_frequent_strings_change_no_result(spark, rows, monkeypatch):
+    """A passage in every document with other words around it: the frequent strings are found, and the bytes stay those of brute force."""
+    monkeypatch.setattr(suffix_dedup, "OFTEN", 20)
+    monkeypatch.setattr(suffix_dedup, "OFTEN_LEAST", 20)
+    r = random.Random(17)
+    note = "all rights reserved worldwide by the publisher and its many partners, no part may be copied without leave " * 2
+    every = [(i, f"{t[: r.randrange(40, 400)]}{note}{t[-r.randrange(40, 400) :]}") for i, t in rows[:120] if t and len(t) > 900]
+    docs = spark.createDataFrame(every, "doc_id long, text string")
+    seen = docs.withColumn(suffix_dedup.UID, docs.doc_id)
+    assert 20 < len(suffix_dedup.frequent(seen, 100_000)) < 2000
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got} == brute.without_repeats(every)
+
+
+def test_a_text_signs_the_same_in_any_company():
+    r = random.Random(18)
+    texts = [" ".join(r.choice("abcdefgh") * r.randrange(1, 4) for _ in range(r.randrange(5, 400))) for _ in range(60)]
+    signed = lambda some: minhash.signed_apart(*minhash.multiset(*minhash.shingles(*Words().hashes(some))), len(some))
+    whole = signed(texts)
+    for k in (0, 7, 59):
+        assert (signed([texts[k]])[0] == whole[k]).all()
+
+
+def test_bags_equal_plain_overlaps():
+    r = random.Random(19)
+    texts = [" ".join(r.choice("abc") for _ in range(r.randrange(40))) for _ in range(30)] + ["", ""]
+    bags = minhash.Bags.of(texts)
+    s, of, c = minhash.multiset(*minhash.shingles(*Words().hashes(texts)))
+    ends = np.searchsorted(of, np.arange(len(texts) + 1))
+    bag = [(s[x:y], c[x:y]) for x, y in zip(ends, ends[1:], strict=False)]
+    for k in range(len(texts)):
+        others = [d for d in range(len(texts)) if d != k]
+        assert np.allclose(bags.overlaps(k, others), [overlap(bag[k], bag[d]) for d in others])
+    places = np.random.default_rng(1).integers(0, 3, (50, 128)).astype(np.uint8)
+    assert all((minhash.equal_places(places, k) == (places == places[k]).sum(axis=1)).all() for k in range(50))
+
+
+def test_words_against_a_plain_split():
+    from gridspark.llm import words as module
+
+    r = random.Random(20)
+    texts = ["", "...", "A b", *("".join(r.choice("ab ,.é\n\t\u3000ß'1日-") for _ in range(r.randrange(80))) for _ in range(200))]
+    plain = [[bare for w in t.lower().split() if (bare := "".join(module._ALNUM.findall(w)))] for t in texts]
+    h, size = Words().hashes(texts)
+    assert size.tolist() == [len(p) for p in plain]
+    names = {}
+    for x, w in zip(h.tolist(), [w for p in plain for w in p], strict=True):
+        assert names.setdefault(w, x) == x
+    assert len(set(names.values())) == len(names)
 
 
 def test_queries_are_named():
