@@ -34,11 +34,8 @@ def resampling_method(name: str) -> str:
 
 
 def mosaic(pixels: DataFrame, order: str, value: str, keys: tuple[str, ...] = ("row_i", "col_i")) -> DataFrame:
-    """For each pixel the valid value of the last file in order; masked values never cover valid ones.
-
-    order tells the files of a pixel apart; its width is fixed in number types, so that the aggregate hashes and need not sort.
-    """
-    return pixels.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.max_by(value, order).alias(value))
+    """For each pixel the valid value of the last file in order (of equal ones the greatest); masked values never cover valid ones."""
+    return pixels.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.max(F.struct(order, value)).alias("_last")).select(*keys, F.col(f"_last.{value}").alias(value))
 
 
 def band_stack(bands: list[DataFrame], keys: tuple[str, ...] = ("row_i", "col_i")) -> DataFrame:

@@ -666,7 +666,7 @@ select t.tile_id, case when t.top_i < -40 then 'skipped (not in subset)' when f.
     coalesce(case when t.top_i >= -40 and f.tile_id is not null and t.left_i <> 0 then d.n end, 0)::bigint as n, coalesce(case when t.top_i >= -40 and f.tile_id is not null and t.left_i <> 0 then d.total end, 0)::bigint as total
 from tiles10 t left join (select distinct t.tile_id from tiles10 t join files f on t.l<f.r and t.r>f.l and t.b<f.t and t.t>f.b) f using (tile_id)
 left join (select tile_id, count(*)::bigint as n, sum(v)::bigint as total from (
-    select lpad(abs(top)::varchar,2,'0')||case when top>=0 then 'N' else 'S' end||'_'||lpad(abs(lft)::varchar,3,'0')||case when lft>=0 then 'E' else 'W' end as tile_id, (arg_max(q, k)*2+1)::bigint%256 as v
+    select lpad(abs(top)::varchar,2,'0')||case when top>=0 then 'N' else 'S' end||'_'||lpad(abs(lft)::varchar,3,'0')||case when lft>=0 then 'E' else 'W' end as tile_id, (arg_max(q, row(k, q))*2+1)::bigint%256 as v
     from (select (l_partkey%18)::int*10-80 as top, (l_orderkey%37)::int*10-180 as lft, l_suppkey%16 as r, l_linenumber as c, l_orderkey*10+l_linenumber as k, l_quantity as q from lineitem) group by top, lft, r, c) group by 1) d using (tile_id)
 """
 
