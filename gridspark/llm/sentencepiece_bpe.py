@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, map_batches, resident, trimmed
+from .common import map_batches, resident, trimmed
 
 MARK = "▁"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 INF = float("inf")
+#: Words that a worker's cache holds; a new one costs the agenda and the library's calls.
+ENTRIES = 400_000
 #: Characters up to which the agenda is a list.
 LIST = 48
 _NORMAL, _BYTE = 1, 6
@@ -38,7 +40,7 @@ _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 class Codec:
     """One for each worker."""
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES, differ: str = "library"):
+    def __init__(self, path: str, entries: int = ENTRIES, differ: str = "library"):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
