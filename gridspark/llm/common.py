@@ -99,12 +99,12 @@ def resident[T](key: Hashable, make: Callable[[], T]) -> T:
             _resident.clear()
             gc.collect()
             pa.default_memory_pool().release_unused()
-            _trim()
+            trim()
         _resident[key] = make()
     return _resident[key]
 
 
-def _trim() -> None:
+def trim() -> None:
     """Returns freed memory to the system where the C library can."""
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)

@@ -11,8 +11,9 @@ earlier in the same one.  Strings never cross documents and are judged on the in
 2. Segments.  Blocks of documents cut out the segments of repeated names.  Of equal segments of a block the earliest goes
    on to the shards; the others are repeats as they are.
 3. Shards.  Each shard's segments, in parts of bounded size, get a suffix array by Larsson-Sadakane refinement and common
-   prefixes by Kasai; entries that share LENGTH bytes are one class.  Classes of different parts are merged by binary
-   search in sorted fingerprints (two 64-bit hashes).  All but a class's earliest place are repeats.
+   prefixes by Kasai; entries that share LENGTH bytes are one class.  A part holds whole names; only a name of more bytes is
+   split, and the classes of its parts are merged by binary search in sorted fingerprints (two 64-bit hashes).  All but a
+   class's earliest place are repeats.
 4. The repeats go back to the blocks of their documents, which drop the bytes that they cover.
 
 Frequent strings make poor anchors: what many documents share would send a segment of each of them, with the text around
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, cut, mix64, slices
+from .common import bounded_batches, cut, mix64, slices, trim
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 24
@@ -224,73 +225,102 @@ def classes(text: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order[ok], group[ok]
 
 
-def repeats(size: np.ndarray, data: bytes, place: np.ndarray, limit: int = PART_BYTES) -> np.ndarray:
+def parts_of(size: np.ndarray, name: np.ndarray, limit: int) -> list[tuple[int, int, bool]]:
+    """Parts of segments in the order of their names: (first, behind the last, whether it goes on with the name of the part before).
+
+    Only a name of more than limit bytes is split.  Strings of different names differ, so only its parts have classes in common.
+    """
+    end = np.cumsum(size)
+    begin, out, a = end - size, [], 0
+    edges = [0, *(np.flatnonzero(name[1:] != name[:-1]) + 1).tolist(), len(name)]
+    for i, j in zip(edges, edges[1:], strict=False):
+        if a < i and end[j - 1] - begin[a] > limit:
+            out.append((a, i, False))
+            a = i
+        if a == i and j > i and end[j - 1] - begin[i] > limit:
+            part = (begin[i:j] - begin[i]) // limit
+            inner = [i, *(np.flatnonzero(part[1:] != part[:-1]) + 1 + i).tolist(), j]
+            out += [(x, y, x > i) for x, y in zip(inner, inner[1:], strict=False)]
+            a = j
+    return [*out, (a, len(name), False)] if a < len(name) else out
+
+
+def repeats(size: np.ndarray, data: bytes, place: np.ndarray, limit: int = PART_BYTES, name: np.ndarray | None = None) -> np.ndarray:
     """Marks the bytes of segments at which a repeat starts.
 
-    size: bytes of each segment in data; place: a number for each segment's first byte by which starts are ordered.
+    size: bytes of each segment in data; place: a number for each segment's first byte by which starts are ordered; name:
+    what equal strings have in common, by which the segments are sorted (None: any two may share strings).
     """
     text = np.frombuffer(data, np.uint8)
     first = np.cumsum(size) - size
-    inner = np.arange(len(text)) - np.repeat(first, size)
-    valid = inner + LENGTH <= np.repeat(size, size)
-    where = np.repeat(place, size) + inner
-    part = (first // limit).tolist()
-    bounds = [0, *[i for i in range(1, len(part)) if part[i] != part[i - 1]], len(part)]
-    found = []  # of each part: fingerprints, earliest place, and where that is
     marks = np.zeros(len(text), bool)
-    for a, b in zip(bounds, bounds[1:], strict=False):
-        if a == b:
-            continue
+    known = None  # classes of the parts of one name: fingerprints, earliest place, where that is, and its order
+    for a, b, on in parts_of(size, np.zeros(len(size), np.int8) if name is None else name, limit):
         low, high = int(first[a]), int(first[b - 1] + size[b - 1])
-        at, group = classes(text[low:high], valid[low:high])
-        if not len(at):
-            continue
-        order = np.lexsort((where[low + at], group))
-        at, group = at[order] + low, group[order]
+        inner = np.arange(high - low) - np.repeat(first[a:b] - low, size[a:b])
+        valid = inner + LENGTH <= np.repeat(size[a:b], size[a:b])
+        where = np.repeat(place[a:b], size[a:b]) + inner
+        at, group = classes(text[low:high], valid)
+        order = np.lexsort((where[at], group))
+        at, group = at[order], group[order]
         new = np.ones(len(at), bool)
         new[1:] = group[1:] != group[:-1]
-        marks[at[~new]] = True
-        found.append(at[new])
-    if len(found) > 1:
-        # merge the parts' classes: binary search of each in the ones before it
-        known = None
-        for at in found:
-            low, high = int(at.min()), int(at.max()) + LENGTH
-            f, g = fingerprints(text[low:high], at - low)
-            order = np.lexsort((g, f))
-            f, g, at = f[order], g[order], at[order]
-            if known is None:
-                known = f, g, at
-                continue
-            kf, kg, kat = known
-            hit = np.searchsorted(kf, f)
-            same = np.zeros(len(f), bool)
-            here = hit.copy()
-            while True:  # equal first hashes stand side by side
-                inside = here < len(kf)
-                like = inside & (kf[np.minimum(here, len(kf) - 1)] == f)
-                same |= (match := like & (kg[np.minimum(here, len(kf) - 1)] == g) & ~same)
-                hit = np.where(match, here, hit)
-                if not (like & ~same).any():
-                    break
-                here = here + 1
-            mine, theirs = at[same], kat[hit[same]]
-            late = where[mine] > where[theirs]
-            marks[np.where(late, mine, theirs)] = True
-            kat = kat.copy()
-            kat[hit[same]] = np.where(late, theirs, mine)
-            kf, kg, kat = (np.concatenate([x, y[~same]]) for x, y in zip((kf, kg, kat), (f, g, at), strict=True))
-            order = np.lexsort((kg, kf))
-            known = kf[order], kg[order], kat[order]
+        marks[at[~new] + low] = True
+        at = at[new]
+        # the parts of a name that is split are merged: binary search of each in the ones before it
+        if not on:
+            known = None
+        if not len(at) or not (on or (b < len(size) and (name is None or name[b] == name[b - 1]))):
+            continue
+        f, g = fingerprints(text[low:high], at)
+        order = np.lexsort((g, f))
+        f, g, at = f[order], g[order], at[order]
+        at, rank = at + low, where[at]
+        if known is None:
+            known = f, g, at, rank
+            continue
+        kf, kg, kat, krank = known
+        hit = np.searchsorted(kf, f)
+        same = np.zeros(len(f), bool)
+        here = hit.copy()
+        while True:  # equal first hashes stand side by side
+            inside = here < len(kf)
+            like = inside & (kf[np.minimum(here, len(kf) - 1)] == f)
+            same |= (match := like & (kg[np.minimum(here, len(kf) - 1)] == g) & ~same)
+            hit = np.where(match, here, hit)
+            if not (like & ~same).any():
+                break
+            here = here + 1
+        mine, theirs = at[same], kat[hit[same]]
+        late = rank[same] > krank[hit[same]]
+        marks[np.where(late, mine, theirs)] = True
+        kat, krank = kat.copy(), krank.copy()
+        kat[hit[same]] = np.where(late, theirs, mine)
+        krank[hit[same]] = np.where(late, krank[hit[same]], rank[same])
+        kf, kg, kat, krank = (np.concatenate([x, y[~same]]) for x, y in zip((kf, kg, kat, krank), (f, g, at, rank), strict=True))
+        order = np.lexsort((kg, kf))
+        known = kf[order], kg[order], kat[order], krank[order]
     return marks
 
 
+def named_twice(segments: list[bytes], often: np.ndarray, limit: int = PART_BYTES) -> list[int]:
+    """Numbers of the segments that have their name twice; about limit bytes are looked at at a time."""
+    size = np.array([len(x) for x in segments], np.int64)
+    part = (np.cumsum(size) - size) // limit
+    bounds = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(size)]
+    out = []
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        _, of, _, _, own = runs(np.frombuffer(b"".join(segments[a:b]), np.uint8), size[a:b], often)
+        out += (np.unique(of[own]) + a).tolist()
+    return out
+
+
 def judge(blocks: int, often):
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
+        data = b"".join(table.column("bytes").to_pylist())
+        rows = table.drop_columns(["bytes"]).to_pylist()
         name, uid, start, size = (column(rows, c, k) for c, k in (("name", "<u8"), ("uid", "<i8"), ("start", "<u4"), ("size", "<u4")))
         first = np.cumsum(size.astype(np.int64)) - size
-        data = b"".join(r["bytes"] for r in rows)
         # equal segments of other blocks: the earliest stays, the others are repeats as they are
         seen: dict[bytes, int] = {}
         again = []
@@ -303,14 +333,18 @@ def judge(blocks: int, often):
         _, of, n = np.unique(name[keep], return_inverse=True, return_counts=True)
         alone = n[of] == 1
         lone = keep[alone]
-        _, of, _, _, own = runs(np.frombuffer(b"".join([x for x, one in zip(seen, alone.tolist(), strict=True) if one]), np.uint8), size[lone].astype(np.int64), often.value)
-        order = np.concatenate([keep[~alone], lone[np.unique(of[own])]])
-        order = order[np.argsort(name[order], kind="stable")]  # so that a name's segments lie in as few parts as can be
+        own = named_twice([x for x, one in zip(seen, alone.tolist(), strict=True) if one], often.value)
+        del seen
+        order = np.concatenate([keep[~alone], lone[np.array(own, np.int64)]])
+        order = order[np.argsort(name[order], kind="stable")]
         # starts in the order of (uid, place): documents are numbered, and lie farther apart than any is long
         number = np.unique(uid, return_inverse=True)[1].astype(np.int64)
         place = (number << 32) + start
-        uid, start, size = uid[order], start[order].astype(np.int64), size[order].astype(np.int64)
-        marks = repeats(size, b"".join([data[a : a + n] for a, n in zip(first[order].tolist(), size.tolist(), strict=True)]), place[order])
+        uid, start, size, name = uid[order], start[order].astype(np.int64), size[order].astype(np.int64), name[order]
+        data = b"".join([data[a : a + n] for a, n in zip(first[order].tolist(), size.tolist(), strict=True)])
+        marks = repeats(size, data, place[order], name=name)
+        del data
+        trim()
         edge = np.diff(np.concatenate([[0], marks.view(np.int8), [0]]))
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # a segment's last bytes are never marked
         of = np.searchsorted(np.cumsum(size), a, side="right")

@@ -1,8 +1,11 @@
 """Operators that compare documents, vectors or items, against brute force."""
 
 import random
+import tracemalloc
+import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -95,6 +98,45 @@ def test_parts_of_a_shard_merge(limit):
         assert (got == np.concatenate(marks)).all()
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 600, 150])
+def test_only_parts_of_one_name_merge(limit):
+    r = random.Random(6)
+    segments, name = [], []
+    for k in range(6):
+        base = bytes(r.choice(b"abcde ") for _ in range(400))
+        for _ in range(r.choice([1, 2, 9])):
+            segments.append(base[(a := r.randrange(250)) : a + r.randrange(100, 150)])
+            name.append(k)
+    place = np.array(r.sample(range(99), len(segments))) << 32
+    starts = sorted((p + i, k, i) for k, (p, s) in enumerate(zip(place.tolist(), segments, strict=True)) for i in range(len(s) - 99))
+    seen, marks = set(), [np.zeros(len(s), bool) for s in segments]
+    for _, k, i in starts:
+        marks[k][i] = (g := segments[k][i : i + 100]) in seen
+        seen.add(g)
+    size = np.array([len(s) for s in segments])
+    assert (suffix_dedup.repeats(size, b"".join(segments), place, limit, np.array(name, np.uint64)) == np.concatenate(marks)).all()
+
+
+@pytest.mark.parametrize("alike", [1, 2])
+def test_a_large_shard_takes_bounded_memory(alike):
+    """Segments of 12 MB, of names that occur once or twice, are judged in parts."""
+    r, n = np.random.default_rng(6), 40_000
+    data = r.integers(97, 123, 300 * n // alike, np.uint8).tobytes()
+    segments = [data[k * 300 : k * 300 + 300 - i] for k in range(n // alike) for i in range(alike)]
+    name = np.repeat(np.arange(n // alike, dtype=np.uint64), alike)
+    size = np.array([len(s) for s in segments], np.uint32)
+    row = {"shard": 0, "name": name.tobytes(), "uid": np.arange(n).tobytes(), "start": np.zeros(n, np.uint32).tobytes(), "size": size.tobytes(), "bytes": b"".join(segments)}
+    table = pa.Table.from_batches([suffix_dedup.batch_of([row], suffix_dedup.SEGMENTS)])
+    tracemalloc.start()
+    try:
+        out = suffix_dedup.judge(1, types.SimpleNamespace(value=np.zeros(0, np.uint64)))(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(x) // 8 for x in out.column("uid").to_pylist()) == n - n // alike
+    assert peak < 350e6, peak
+
+
 def test_remove_repeats(spark, rows):
     line = "Mañana será otro día — " * 6
     odd = [(9_000, None), (9_001, ""), (9_002, "x" * 99), (9_003, "x" * 100), (9_004, "x" * 101), (9_005, line), (9_006, "é" + line + "ü"), (9_007, "ab" * 70), (9_008, rows[3][1] * 2)]
