@@ -384,6 +384,32 @@ def test_other_languages_and_gibberish_are_rejected(spark):
     assert max(x.lang_score for x in out.values()) < plain
 
 
+def test_models_learn_from_every_labelled_row(spark):
+    """Each of 1500 texts a language has a word of its own; the models know those of all rows but the held-out ones."""
+    spell = lambda i: "".join(chr(0x3400 + (i >> s & 15)) for s in (0, 4, 8)) + "q"
+    rows = [(i, f"the word {spell(i)}", "xy"[i % 2]) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    held = {r.doc_id for r in docs.where(language_id.held_out()).collect()}
+    model = language_id.fit(docs)
+    x = language_id.Symbols.of([spell(i) for i in range(3000)], 4)
+    known = np.isin(x.keys[3][x.starts + 4], model.grams[3])  # the n-gram of the word's four letters
+    assert 500 < len(held) < 1000 and set(np.flatnonzero(~known).tolist()) == held
+    assert np.isfinite(model.limit).all() and (model.mean > 0).all()
+
+
+def test_counts_by_task_give_the_same_model(spark):
+    words = ["ab", "abc", "ba", "cab", "bb", "a"]
+    rows = [(i, " ".join(words[j % 6] for j in range(i % 9)), "xy"[i % 2]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, many = language_id.fit(docs.coalesce(1)), language_id.fit(docs.repartition(7))
+    kept = [r for r in docs.where(~language_id.held_out()).collect()]
+    counts = np.array([[sum(r.text.split().count(w) for r in kept if r.lang == k) for k in "xy"] for w in words], float)
+    plain = language_id.train(words, counts, languages=["x", "y"])
+    for m in (one, many):
+        assert all((a == b).all() for x in ("grams", "logp", "contexts", "backoff") for a, b in zip(getattr(m, x), getattr(plain, x), strict=True))
+    assert (one.limit == many.limit).all()
+
+
 def test_scores_do_not_grow_with_length():
     words = ["ab", "abc", "ba", "cab", "bb", "a"]
     m = language_id.train(words, np.array([[3, 0], [1, 1], [2, 5], [1, 0], [0, 2], [4, 4]], float), languages=["x", "y"])
