@@ -4,10 +4,11 @@ Passages are windows of words (``WINDOWS`` sizes, every ``BLOCK`` words, over wh
 feature of its own; all others are hashed to ``DIMS`` features.  Document frequencies are counted over all documents,
 outside the runs of ``GRAM`` words that they share with an item, lest a leak make its own words frequent.  A benchmark word
 always weighs something (``FLOOR`` at least), however frequent it is; a hashed feature of more than ``STOP`` of the documents
-(and of more than ``STOP_LEAST``) weighs nothing and does not count in a window: it is in no item.  A randomised range finder
-gives the leading right singular vectors of the TF-IDF matrix of the benchmark's passages and those of a bounded sample of
-documents, summed up over the tasks that hold them; each is divided by its singular value, lest a few directions (the
-language above all) decide every cosine.  Passages whose cosine with a benchmark passage reaches ``COSINE`` are candidates.
+(and of more than ``STOP_LEAST``) weighs nothing and does not count in a window: it is in no item.  The leading right singular
+vectors of the TF-IDF matrix of all passages of ``BLOCK`` words, those of all documents and of the benchmark, come from a
+one-pass randomised sketch (Nystrom): tasks sum up how often features share a passage, folded by random signs into
+``WIDE`` columns, in whole numbers, so that their order changes nothing.  Each vector is divided by its singular value, lest a
+few directions (the language above all) decide every cosine.  The pass reads features that the first one has written.  Passages whose cosine with a benchmark passage reaches ``COSINE`` are candidates.
 So is, whatever its words weigh, every place of a document that shares a run of ``GRAM`` words with an item (all of a
 shorter item); its cosine is 0 where no passage led there.  A candidate is confirmed where the longest common subsequence
 of words covers ``OVERLAP`` of the item (in its neighbourhood in the document) and enough of the item's rarest words, which
@@ -29,13 +30,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix64, slices
+from .common import bounded_batches, cut, discard, mix64, slices, trim
 from .words import _STEP, Words, worker_words
 
-DIMS, RANK, SPARE = 1 << 16, 64, 8
+#: Hashed features, singular vectors, columns of the sketch, and what its weights are multiplied by to be whole numbers.
+DIMS, RANK, WIDE, WHOLE = 1 << 16, 64, 96, 256
+#: Pieces of the sketch that travel as rows.
+PIECES = 64
 #: Words between the starts of passages, and the lengths of passages in such steps; stop words don't count.
 BLOCK, WINDOWS = 5, (2, 4, 8)
 #: Items of fewer words than this fill less of a passage; their least cosine is lower by the root of their share.
@@ -49,13 +54,12 @@ STOP, STOP_LEAST = 0.05, 20
 FLOOR = 0.05
 #: Words of the runs that an item and a document have in common, and slots of the table that drops most other runs early.
 GRAM, SLOTS = 5, 1 << 20
-#: Documents of the bounded sample on which the projection is fitted.
-FIT_DOCS = 2000
 #: The benchmark's size is checked against these: items, words in all, different words.
 MAX_ITEMS, MAX_LENGTH, MAX_WORDS = 100_000, 4_000_000, 400_000
 SLICE = 1 << 20
 #: Cosines that a task holds at a time.
 PRODUCT = 1 << 22
+CODED = "f binary, feature int, n long"
 SCHEMA = "doc_id long, item_id long, overlap double, cosine double, start_word long"
 
 
@@ -257,8 +261,8 @@ class Index:
     grams: Grams
 
 
-def document_frequencies(docs: DataFrame, grams: Grams, features: Features) -> tuple[np.ndarray, int]:
-    """In how many of all documents each feature occurs outside the items' runs, and the number of documents."""
+def coded(docs: DataFrame, grams: Grams, features: Features) -> DataFrame:
+    """The features of the words of each document, and in how many documents of a task each feature occurs outside the items' runs (-1: documents)."""
     sent = docs.sparkSession.sparkContext.broadcast((grams, features))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,18 +270,90 @@ def document_frequencies(docs: DataFrame, grams: Grams, features: Features) -> t
         df, n, words = np.zeros(features.size, np.int64), 0, worker_words()
         for batch in slices(batches, "text", limit=SLICE):
             h, size = words.hashes([t or "" for t in batch.column("text").to_pylist()])
-            pair = (np.repeat(np.arange(len(size)), size) * features.size + features.of(h))[~grams.covered(h, size)]
+            f = features.of(h)
+            pair = (np.repeat(np.arange(len(size)), size) * features.size + f)[~grams.covered(h, size)]
             df += np.bincount(np.unique(pair) % features.size, minlength=features.size)
             n += len(size)
+            ends = np.concatenate([[0], 4 * np.cumsum(size)]).astype(np.int32)
+            own = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(f.astype(np.int32))])
+            yield pa.RecordBatch.from_arrays([own, pa.nulls(len(size), pa.int32()), pa.nulls(len(size), pa.int64())], names=["f", "feature", "n"])
         if n:
-            yield pa.RecordBatch.from_pydict({"feature": pa.array([-1, *np.flatnonzero(df)], pa.int32()), "n": pa.array([n, *df[df > 0]], pa.int64())})
+            count = np.append(n, df[df > 0])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(count), pa.binary()), pa.array(np.append(-1, np.flatnonzero(df)), pa.int32()), pa.array(count)], names=["f", "feature", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    return cut(docs.select("text").mapInArrow(run, CODED), "features")
+
+
+def document_frequencies(table: DataFrame, features: Features) -> tuple[np.ndarray, int]:
+    """In how many of all documents of a coded table each feature occurs, and the number of documents."""
+    rows = table.where("feature is not null").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     out, at, n = np.zeros(features.size, np.int64), rows.column("feature").to_numpy(), rows.column("n").to_numpy()
     out[at[at >= 0]] = n[at >= 0]
     return out, int(n[at < 0].sum())
 
 
+def folded(f: np.ndarray, size: np.ndarray, column: np.ndarray, weight: np.ndarray, total: np.ndarray) -> None:
+    """Adds to the rows of the features f, at its column, the weight of each feature in the same passage of BLOCK words (its own too)."""
+    first, n_blocks = np.cumsum(size) - size, -(-size // BLOCK)
+    of = np.repeat(np.arange(len(size)), size)
+    block = (np.cumsum(n_blocks) - n_blocks)[of] + (np.arange(len(f)) - first[of]) // BLOCK
+    row, c, w = f.astype(np.int64) * WIDE, column[f], weight[f]
+    np.add.at(total, row + c, w)
+    for j in range(1, BLOCK):
+        at = np.flatnonzero(block[j:] == block[:-j])
+        np.add.at(total, row[at] + c[at + j], w[at + j])
+        np.add.at(total, row[at + j] + c[at], w[at])
+
+
+def sketch(table: DataFrame, tells: np.ndarray, column: np.ndarray, weight: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(first number, what it comes to) for pieces of the folded table of all documents of a coded table."""
+    spark, size = table.sparkSession, len(tells)
+    sent, step = spark.sparkContext.broadcast((tells, column, weight)), -(-size // PIECES) * WIDE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (tells, column, weight), total = sent.value, np.zeros(size * WIDE)
+        column, weight = column.astype(np.int64), weight.astype(np.float64)  # np.add.at is slow for types that were pickled
+        for batch in slices(batches, "f", limit=SLICE):
+            f = np.frombuffer(b"".join(batch.column("f").to_pylist()), np.int32)
+            told, n, _ = telling(f, pc.binary_length(batch.column("f")).to_numpy().astype(np.int64) // 4, tells)
+            folded(told, n, column, weight, total)
+        for a in range(0, len(total), step):
+            if (own := total[a : a + step]).any():
+                yield pa.RecordBatch.from_arrays([pa.array([a // step], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["piece", "total"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.float64) for x in rows.column("total").to_pylist())
+        return pa.table({"piece": rows.column("piece")[:1], "total": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "piece int, total binary"
+    # as many sums as tasks can run at a time, whatever the input
+    parts = table.where("f is not null").select("f").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(run, kind)
+    for r in parts.groupBy("piece").applyInArrow(add, kind).toLocalIterator():
+        yield r.piece * step, np.frombuffer(r.total, np.float64)
+    sent.destroy()
+
+
+def projection(table: DataFrame, f: np.ndarray, size: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The leading right singular vectors over their values, times the weights: of the passages of a coded table and of texts with the features f."""
+    rng = np.random.default_rng(10)
+    column, weight = rng.integers(0, WIDE, len(idf)), np.rint(rng.choice([-1.0, 1.0], len(idf)) * idf * WHOLE)
+    total = np.zeros(len(idf) * WIDE)
+    folded(*telling(f, size, idf > 0)[:2], column, weight, total)
+    for a, part in sketch(table, idf > 0, column, weight):
+        total[a : a + len(part)] += part
+    total = total.reshape(-1, WIDE)
+    core = np.zeros((WIDE, WIDE))
+    for c in range(WIDE):
+        core[c] = weight[column == c] @ total[column == c]
+    values, turn = np.linalg.eigh((core + core.T) / 2)
+    some = values > 1e-9 * max(values[-1], 1e-30)
+    left = (idf[:, None] * total.astype(np.float32)).astype(np.float32) @ (turn[:, some] / np.sqrt(values[some])).astype(np.float32)
+    del total
+    values, turn = np.linalg.eigh((left.T @ left).astype(np.float64))
+    values, turn = np.maximum(values[::-1][:RANK], 1e-6 * max(values[-1], 1e-30) if len(values) else 0), turn[:, ::-1][:, :RANK]
+    return idf[:, None] * (left @ (turn / values).astype(np.float32))
+
+
 def weights(df: np.ndarray, n: int, n_own: int) -> np.ndarray:
     """Inverse document frequencies: of the first n_own features FLOOR at least, of the others 0 if they are frequent."""
     idf = np.log((n + 1) / (df + 1))
@@ -296,60 +372,17 @@ def fit(docs: DataFrame, benchmark: DataFrame) -> Index | None:
     if not len(h):
         return None
     grams = Grams.of(h, size)
-    df, n = document_frequencies(docs, grams, features)
+    known = coded(docs, grams, features)
+    df, n = document_frequencies(known, features)
     if not n:
+        discard(known)
         return None
     idf = weights(df, n, len(features.words))
     f, starts = features.of(h), np.cumsum(size) - size
     items = [Item.of(r["item_id"], h[a : a + m], idf[f[a : a + m]]) for r, a, m in zip(listed, starts, size, strict=True)]
-
-    rng = np.random.default_rng(10)
-    wide = RANK + SPARE
-    omega = rng.standard_normal((features.size, wide), np.float32) * idf[:, None]
-
-    def back(f: np.ndarray, size: np.ndarray, y: np.ndarray, start: np.ndarray, of: np.ndarray, z: np.ndarray) -> None:
-        """Adds transposed(A) y for passages of BLOCK words each."""
-        row = np.repeat(y, np.minimum(BLOCK, size[of] - start), axis=0)
-        order = np.argsort(f, kind="stable")
-        at, first = np.unique(f[order], return_index=True)
-        z[at] += np.add.reduceat(row[order], first, axis=0)
-
-    def gathered(left: np.ndarray, turn: bool) -> np.ndarray:
-        """transposed(A) (A left), or with turn transposed(A left) (A left), over the sample's passages and the benchmark's."""
-        sent = spark.sparkContext.broadcast((left, idf > 0, features))
-
-        def add(f: np.ndarray, size: np.ndarray, table: np.ndarray, total: np.ndarray) -> None:
-            if len(f):
-                y, start, of = passages(table, f, size, (1,))
-                if turn:
-                    total += y.T @ y
-                else:
-                    back(f, size, y, start, of, total)
-
-        shape = (wide, wide) if turn else (features.size, wide)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            (table, tells, features), total = sent.value, np.zeros(shape, np.float32)
-            for batch in slices(batches, "text", limit=SLICE):
-                h, size = worker_words().hashes([t or "" for t in batch.column("text").to_pylist()])
-                add(*telling(features.of(h), size, tells)[:2], table, total)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
-
-        total = np.zeros(shape, np.float32)
-        add(f, size, left, total)
-        for r in sample.mapInArrow(run, "total binary").toLocalIterator():
-            total += np.frombuffer(r.total, np.float32).reshape(shape)
-        sent.destroy()
-        return total
-
-    hashed = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(10)), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.where(hashed < min(1.0, FIT_DOCS / n)).select("text").coalesce(2).persist()
-    z = gathered(omega, False)
-    q = np.linalg.qr(idf[:, None] * z)[0].astype(np.float32)
-    values, turn = np.linalg.eigh(gathered(idf[:, None] * q, True).astype(np.float64))
-    sample.unpersist()
-    values, turn = np.maximum(values[::-1][:RANK], 1e-6 * max(values[-1], 1e-30)), turn[:, ::-1][:, :RANK]
-    table = (idf[:, None] * (q @ (turn / np.sqrt(values)))).astype(np.float32)
+    table = projection(known, f, size, idf)
+    discard(known)
+    trim()
 
     # an item's passages: itself if it is short, else windows of it
     long_ = ITEM_PASSAGE

@@ -244,6 +244,33 @@ def test_rows_that_share_a_vec_id(spark):
     assert got == [(1, 0, 1, True), (1, 2, 1, True), (1, 2, 1, True), (3, 2, 1, False), (5, 0, 5, True)]
 
 
+def test_sketch_sums_weights_within_passages():
+    r, n = np.random.default_rng(2), 40
+    size = np.array([0, 3, 5, 12, 1, 0, 11])
+    f, column, weight = r.integers(0, n, size.sum()), r.integers(0, decontamination.WIDE, n), r.integers(-9, 9, n).astype(float)
+    want, first = np.zeros((n, decontamination.WIDE)), 0
+    for m in size.tolist():
+        for a in range(first, first + m, decontamination.BLOCK):
+            passage = f[a : min(a + decontamination.BLOCK, first + m)]
+            for i in passage:
+                for j in passage:
+                    want[i, column[j]] += weight[j]
+        first += m
+    got = np.zeros(want.size)
+    decontamination.folded(f, size, column, weight, got)
+    assert (got.reshape(want.shape) == want).all()
+
+
+def test_projection_is_fitted_on_every_document(spark):
+    """Each of 4000 documents has a word of its own; the projection knows all of them, however the rows are dealt."""
+    bench = spark.createDataFrame([(1, "one two three four five six seven"), (2, "red green blue")], "item_id long, text string")
+    docs = spark.createDataFrame([(d, f"one own{d} red" if d % 3 else None if d % 2 else f"own{d}") for d in range(4000)], "doc_id long, text string")
+    own = Words().hashes([f"own{d}" for d in range(4000) if d % 3 or not d % 2])[0]
+    one, many = decontamination.fit(docs.coalesce(1), bench), decontamination.fit(docs.repartition(7), bench)
+    assert np.abs(one.table[one.features.of(own)]).max(axis=1).min() > 0
+    assert (one.table == many.table).all()
+
+
 def test_longest_common_subsequence():
     r = random.Random(8)
     for _ in range(100):
