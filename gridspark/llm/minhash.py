@@ -109,7 +109,8 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     slot = F.pmod(F.xxhash64("id", F.lit(40)), F.lit(slots)) + 1
     pieces = ids.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
     table = np.zeros((slots // PIECE, PIECE // 8), np.uint8)
-    for r in pieces.toLocalIterator():
+    # one job, of as many bytes as the table: a local iterator runs one for each partition
+    for r in pieces.collect():
         table[r.piece - 1] = np.frombuffer(r.bits, np.uint8)
     sent = docs.sparkSession.sparkContext.broadcast(table.ravel())
 

@@ -10,6 +10,7 @@ import pytest
 
 import corpus_pipeline
 from gridspark.llm import decontamination, minhash, multi_index, queries, suffix_array, suffix_dedup
+from gridspark.llm import components as module
 from gridspark.llm.components import components
 from gridspark.llm.words import Words, overlap
 
@@ -30,6 +31,46 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 5, 1_000_000])
+def test_components_in_tasks_and_in_rounds(spark, monkeypatch, limit):
+    """The same whatever one task may hold; what one task can hold takes two writes, however long the chains are."""
+    monkeypatch.setattr(module, "EDGES", limit)
+    writes, real = [], module.cut
+    monkeypatch.setattr(module, "cut", lambda df, tag: writes.append(tag) or real(df, tag))
+    r = random.Random(3)
+    chain = r.sample(range(1000, 1040), 40)
+    edges = [(r.randrange(60), r.randrange(60)) for _ in range(40)] + list(zip(chain, chain[1:], strict=False)) + [(-5, 2**60), (2**60, 70), (70, 70)]
+    forest = module.Forest(2000)
+    place = {x: i for i, x in enumerate(sorted({x for e in edges if e[0] != e[1] for x in e}))}
+    for a, b in edges:
+        if a != b:
+            forest.link(place[a], place[b])
+    ids = sorted(place)
+    table = spark.createDataFrame(edges * 2, "a long, b long").repartition(5)
+    got = [tuple(x) for x in components(table).collect()]
+    assert sorted(got) == [(x, ids[forest.root(place[x])]) for x in ids]
+    assert limit < 100 or len(writes) == 2
+
+
+def test_table_of_wanted_ids_takes_few_jobs(spark):
+    """Its pieces come in one job, not in one for each partition."""
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(200)], "doc_id long, text string")
+    ids = spark.range(0, 200, 50).toDF("id")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("wanted", "wanted")
+        out = minhash.texts_of(docs, ids)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("wanted")) < 10
+        assert {0, 50, 100, 150} <= {r.id for r in out.collect()} and out.join(ids, "id", "left_anti").count() < 100
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(1)
     z = []
