@@ -4,7 +4,8 @@ A word is its letters, lower-cased, between a start and an end mark; each langua
 those symbols, with one absolute discount an order.  The tables of all languages lie side by side: for each order the
 sorted 64-bit hashes of the n-grams that any language has seen, with each language's interpolated log-probability, and
 the sorted hashes of the contexts with each language's back-off weight.  A text's cross-entropy in a language is the mean
-over all its symbols; the lowest names the language.  Each worker scores a word once while its cache holds it.
+over all its symbols; the lowest names the language.  A symbol's log-probabilities follow from it and the three before it:
+each worker numbers these n-grams of a text's symbols, and scores each once while its cache holds it.
 
 Training: all labelled documents whose crc32(doc_id as text) mod 4 is not 2.  Tasks count the n-grams of their words by
 language and fold (a hash of doc_id); the driver gets one row for each n-gram of ``ORDER`` symbols (or that opens a word),
@@ -23,6 +24,7 @@ by row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, CACHE_KEY, bounded_batches, cut, discard, map_batches, mix64, resident, slices
+from .common import CACHE_ENTRIES, bounded_batches, cut, discard, map_batches, mix64, resident, slices
 
 #: Symbols of the longest n-grams, four at most: they travel in two 64-bit integers.
 ORDER = 4
@@ -47,17 +49,19 @@ SLACK = 1.5
 SHARP = 10
 #: Quantile of the excess, one text in 400 above it, and the accuracy of its mergeable sketch.
 LEVEL, SKETCH = 1 - 1 / 400, 100_000
+#: Symbols whose n-grams are numbered at a time, and the most languages whose totals are summed symbol by symbol.
+WINDOW, FEW = 1 << 17, 16
 GRAMS = "lang string, fold int, high long, low long, n long"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP, _UPPER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_32, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
+_OTHER, _LETTER, _SPACE = 0, 1, 2
 
 
-def letters(word: str) -> str:
-    return word if word.isalpha() else "".join(c for c in word if c.isalpha())
-
-
-def words_of(text: str) -> list[str]:
-    return text.lower().split()
+@functools.cache
+def kinds() -> np.ndarray:
+    """For each code point whether it is a letter, white space, or something else, which words drop."""
+    return np.array([_LETTER if c.isalpha() else _SPACE if c.isspace() else _OTHER for c in map(chr, range(0x110000))], np.uint8)
 
 
 @dataclass
@@ -103,24 +107,43 @@ class Model:
 
     def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihoods of words, one column a language, and their numbers of predicted symbols."""
+        if not words:
+            return np.zeros((0, len(self.languages))), np.zeros(0)
         x = Symbols.of(words, self.order)
-        total = np.zeros((len(x.place), len(self.languages)), np.float32)
-        open_ = x.place >= 1
+        total = self.predict(x.keys, [np.roll(k, 1) for k in x.keys], x.place)
+        size = np.diff(np.append(x.starts, len(x.place))) - 1
+        return np.add.reduceat(total.astype(np.float64), x.starts, axis=0), size
+
+    def predict(self, keys: list[np.ndarray], before: list[np.ndarray], place: np.ndarray) -> np.ndarray:
+        """Log-probabilities of symbols at a place in their word (0: start marks, not predicted), one column a language.
+
+        keys and before are the hashes of the n-grams that end at the symbols and right before them.
+        """
+        total = np.zeros((len(place), len(self.languages)), np.float32)
+        open_ = place >= 1
         for n in range(self.order, 0, -1):
-            at = np.flatnonzero(open_ & (x.place >= n - 1))
-            where, hit = find(self.grams[n - 1], x.keys[n - 1][at])
+            at = np.flatnonzero(open_ & (place >= n - 1))
+            where, hit = find(self.grams[n - 1], keys[n - 1][at])
             total[at[hit]] += self.logp[n - 1][where[hit]]
             open_[at[hit]] = False
             miss = at[~hit]
             if n > 1:
-                where, hit = find(self.contexts[n - 1], x.keys[n - 2][miss - 1])
+                where, hit = find(self.contexts[n - 1], before[n - 2][miss])
                 total[miss[hit]] += self.backoff[n - 1][where[hit]]
             else:
                 total[miss] += self.backoff[0][0] + np.float32(self.unseen)
-        if not words:
-            return np.zeros((0, len(self.languages))), np.zeros(0)
-        size = np.diff(np.append(x.starts, len(x.place))) - 1
-        return np.add.reduceat(total.astype(np.float64), x.starts, axis=0), size
+        return total
+
+    def last_symbols(self, four: np.ndarray) -> np.ndarray:
+        """Log-probabilities of the last symbol of n-grams as ``Grams`` has them."""
+        s = four[:, ::-1].astype(np.uint64)
+        place = 1 + np.cumprod(s[:, 1:] > 0, axis=1).sum(axis=1)
+        keys, before = [mix64(s[:, 0] + np.uint64(1))], [mix64(s[:, 1] + np.uint64(1))]
+        for n in range(1, self.order):
+            keys.append(mix64(keys[-1] * _STEP + s[:, n] + np.uint64(1)))
+            if n < 3:
+                before.append(mix64(before[-1] * _STEP + s[:, n + 1] + np.uint64(1)))
+        return self.predict(keys, before, place)
 
 
 def added(high: np.ndarray, low: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,49 +222,119 @@ def train_grams(high: np.ndarray, low: np.ndarray, counts: np.ndarray, order: in
     return model
 
 
-class Judge:
-    """Scores texts, each word once while the cache holds it; one for each worker."""
+def grown(a: np.ndarray, n: int) -> np.ndarray:
+    """a, or a longer copy of it whose last axis has n places at least."""
+    return a if a.shape[-1] >= n else np.concatenate([a, np.zeros((*a.shape[:-1], max(n, 2 * a.shape[-1]) - a.shape[-1]), a.dtype)], axis=-1)
 
-    def __init__(self, model: Model, entries: int = CACHE_ENTRIES):
-        self.model, self.entries = model, entries
+
+class Grams:
+    """Numbers, from 1 on, the n-grams of four symbols that end at each symbol of texts; ``learn`` gets each that is new.
+
+    A symbol is a lower-cased letter or the end of a word (1); start marks and what lies before them are 0.  A table of
+    slots finds most numbers at once; n-grams that share a slot with another are found by their text.
+    """
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        self.entries = entries
         self.forget()
 
     def forget(self) -> None:
         self.row: dict[str, int] = {}
-        self.used = 0
-        self.table = np.zeros((1024, len(self.model.languages) + 1))
-
-    def learn(self, words: list[str]) -> None:
-        bare = [letters(w) for w in words]
-        first, last = self.used, self.used + len(words)
-        if last > len(self.table):
-            self.table = np.vstack([self.table, np.zeros((max(last, 2 * len(self.table)) - len(self.table), self.table.shape[1]))])
-        for a in range(0, len(words), 50_000):
-            ll, n = self.model.score(bare[a : a + 50_000])
-            empty = np.array([not w for w in bare[a : a + 50_000]], bool)
-            self.table[first + a : first + a + len(ll), :-1] = np.where(empty[:, None], 0, ll)
-            self.table[first + a : first + a + len(ll), -1] = np.where(empty, 0, n)
-        self.row.update(zip(words, range(first, last), strict=True))
-        self.used = last
+        self.keys = np.zeros(1024, np.uint64)
+        bits = max(10, (8 * self.entries).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), np.zeros(1 << bits, np.int32)
+
+    def learn(self, four: np.ndarray, number: np.ndarray) -> None:
+        """New n-grams (code points, the last symbol last) and their numbers, which follow those before."""
+
+    @staticmethod
+    def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The code points of all texts' letters, with 0 after each word, and how many symbols each text has."""
+        lower = [t.lower() for t in texts]
+        points = np.frombuffer("\n".join([*lower, ""]).encode("utf-32-le"), "<u4")
+        kind = kinds()[points]
+        there = kind != _OTHER
+        c = (points * (kind == _LETTER))[there]
+        ends = c != 0
+        ends[1:] |= c[:-1] != 0
+        there[there] = ends.copy()
+        size = np.fromiter(map(len, lower), np.int64, len(lower)) + 1
+        return c[ends], np.add.reduceat(there, np.cumsum(size) - size, dtype=np.int64)
+
+    def windows(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(numbers of n-grams, texts that they are of, first place of each) for whole texts, or for pieces of a long one."""
+        if not texts:
+            return
+        c, size = self.symbols(texts)
+        c, end, some = np.concatenate([np.zeros(3, c.dtype), c]), np.cumsum(size), np.flatnonzero(size)
+        first, last, i = (end - size)[some], end[some], 0
+        while i < len(some):
+            j = max(i + 1, int(np.searchsorted(last, first[i] + WINDOW, side="right")))
+            for a in range(first[i], last[j - 1], WINDOW):
+                yield self.rows(c[a : min(a + WINDOW, last[j - 1]) + 3]), some[i:j], first[i:j] - first[i]
+            i = j
+
+    def rows(self, c: np.ndarray) -> np.ndarray:
+        """Numbers of the n-grams that end at the symbols of c, of which the first three only lead the others."""
+        x = c.astype(np.uint64)
+        pair = x[:-1] << _32 | x[1:]
+        upper, lower = pair[:-2] * ((x[1:-2] != 0) & (x[2:-1] != 0)), pair[2:]
+        key = lower + upper * _UPPER
+        slot = (key * _STEP >> self.shift).view(np.int64)
+        row = self.slots[slot]
+        miss = np.flatnonzero(self.keys[row] != key)
+        if not len(miss):
+            return row
+        _, at, inverse = np.unique(key[miss], return_index=True, return_inverse=True)
+        at = miss[at]
+        four = np.stack([upper[at] >> _32, upper[at] & _LOW, lower[at] >> _32, np.maximum(lower[at] & _LOW, 1)], axis=1).astype("<u4")
+        text = four.tobytes().decode("utf-32-le")
+        names = [text[i : i + 4] for i in range(0, len(text), 4)]
+        new = [i for i, w in enumerate(names) if w not in self.row]
+        if self.row and len(self.row) + len(new) > self.entries:
+            self.forget()
+            return self.rows(c)
+        if new:
+            number = np.arange(len(self.row) + 1, len(self.row) + 1 + len(new), dtype=np.int32)
+            self.keys = grown(self.keys, int(number[-1]) + 1)
+            self.keys[number] = key[at[new]]
+            self.row.update(zip([names[i] for i in new], number.tolist(), strict=True))
+            free = self.slots[slot[at[new]]] == 0
+            self.slots[slot[at[new]][free]] = number[free]
+            self.learn(four[new], number)
+        row[miss] = np.array([self.row[w] for w in names], np.int32)[inverse]
+        return row
+
+
+class Judge(Grams):
+    """Scores texts, each n-gram once while the cache holds it; one for each worker."""
+
+    def __init__(self, model: Model, entries: int = CACHE_ENTRIES):
+        self.model = model
+        super().__init__(entries)
+
+    def forget(self) -> None:
+        super().forget()
+        self.table = np.zeros((len(self.model.languages), 1024))
+
+    def learn(self, four: np.ndarray, number: np.ndarray) -> None:
+        self.table = grown(self.table, int(number[-1]) + 1)
+        self.table[:, number] = self.model.last_symbols(four).T
 
     def totals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihoods of texts by language and their numbers of symbols (0: no letter)."""
-        split = [words_of(t) for t in texts]
-        new = set().union(*split)
-        if self.used + len(new) > max(self.entries, len(new)):
-            self.forget()
-        self.learn(fresh := sorted(w for w in new if w not in self.row))
-        out = np.zeros((len(texts), self.table.shape[1]))
-        get = self.row.__getitem__
-        for i, p in enumerate(split):
-            if p:
-                # exact sums: the order of a text's words or its neighbours changes nothing
-                rows, n = np.unique(np.fromiter(map(get, p), np.int64, len(p)), return_counts=True)
-                out[i] = n @ self.table[rows]
-        for w in fresh:
-            if len(w) > CACHE_KEY:
-                del self.row[w]
-        return out[:, :-1], out[:, -1]
+        out, n = np.zeros((len(texts), len(self.table))), np.zeros(len(texts))
+        for row, of, first in self.windows(texts):
+            ends = np.append(first[1:], len(row))
+            n[of] += ends - first
+            if len(self.table) <= FEW:
+                for k, logp in enumerate(self.table):
+                    out[of, k] += np.add.reduceat(logp[row], first)
+            else:
+                for i, a, b in zip(of.tolist(), first.tolist(), ends.tolist(), strict=True):
+                    some, count = np.unique(row[a:b], return_counts=True)
+                    out[i] += self.table[:, some] @ count
+        return out, n
 
     def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language (-1: und), score, and whether calibrated rejection lets the text go."""
@@ -266,30 +359,59 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+class Tally(Grams):
+    """Counts of the n-grams of groups of texts."""
+
+    def __init__(self, order: int, entries: int = CACHE_ENTRIES):
+        self.order, self.held = order, {}
+        self.counts: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        super().__init__(entries)
+
+    def forget(self) -> None:
+        self.settle()
+        super().forget()
+        self.four = np.zeros((4, 1024), np.int64)
+
+    def learn(self, four: np.ndarray, number: np.ndarray) -> None:
+        self.four = grown(self.four, int(number[-1]) + 1)
+        self.four[:, number] = four.T
+
+    def add(self, group: tuple[str, int], texts: list[str]) -> None:
+        for row, _, _ in self.windows(texts):
+            n = np.bincount(row)
+            before = grown(self.held.get(group, n[:0]), len(n))
+            before[: len(n)] += n
+            self.held[group] = before
+        if sum(map(len, self.held.values())) > 16 * self.entries:
+            self.settle()
+
+    def settle(self) -> None:
+        """Counts by numbers become counts by symbols, which outlive the numbers."""
+        for group, n in self.held.items():
+            some = np.flatnonzero(n)
+            four = self.four[:, some] * (np.arange(4) >= 4 - self.order)[:, None]
+            own = four[0] << 32 | four[1], four[2] << 32 | four[3], n[some]
+            self.counts[group] = added(*map(np.concatenate, zip(self.counts[group], own, strict=True))) if group in self.counts else added(*own)
+        self.held.clear()
+
+
 def count_grams(order: int, entries: int = CACHE_ENTRIES):
     """Counts of a task's n-grams by language and fold; the n-gram -1, -1 counts its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts: Counter = Counter()
-        words: dict[tuple[str, int], Counter] = {}
-        grams: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-
-        def settle() -> None:
-            for group, c in words.items():
-                bare = [letters(w) for w in c]
-                own = counted([w for w in bare if w], np.array([n for n, w in zip(c.values(), bare, strict=True) if w], np.int64), order)
-                grams[group] = added(*map(np.concatenate, zip(grams[group], own, strict=True))) if group in grams else own
-            words.clear()
-
-        for i, batch in enumerate(slices(batches, "text"), 1):
+        number: Counter = Counter()
+        tally = Tally(order, entries)
+        for batch in slices(batches, "text"):
+            groups: dict[tuple[str, int], list[str]] = {}
             for lang, text, fold in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "fold")), strict=True):
-                texts[lang, fold] += 1
-                words.setdefault((lang, fold), Counter()).update(words_of(text))
-            if i % 16 == 0 or sum(map(len, words.values())) > entries:
-                settle()
-        settle()
-        for (lang, fold), n in texts.items():
-            high, low, c = (np.append(x, y) for x, y in zip(grams[lang, fold], (-1, -1, n), strict=True))
+                groups.setdefault((lang, fold), []).append(text)
+            for group, texts in groups.items():
+                number[group] += len(texts)
+                tally.add(group, texts)
+        tally.settle()
+        for (lang, fold), n in number.items():
+            own = tally.counts.get((lang, fold), [np.zeros(0, np.int64)] * 3)
+            high, low, c = (np.append(x, y) for x, y in zip(own, (-1, -1, n), strict=True))
             columns = [pa.array([lang] * len(c), pa.string()), pa.array(np.full(len(c), fold, np.int32)), pa.array(high), pa.array(low), pa.array(c.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "fold", "high", "low", "n"])
 

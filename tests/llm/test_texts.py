@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -426,3 +427,42 @@ def test_texts_outside_the_sample_stay(spark):
     assert not {r.doc_id for r in gone} & {1382, 3862, 3177, 4932}
     plain = lambda r: r.lang == "en" and not set(r.text) - set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ,.\n")
     assert sum(map(plain, rows)) > 1000 and not any(map(plain, gone)) and len(gone) < 0.0025 * len(rows)
+
+
+def test_symbols_are_scored_once_whatever_the_words(monkeypatch):
+    """20,000 words of few n-grams take as many look-ups as these n-grams, not as the words."""
+    r = random.Random(8)
+    words = ["".join(r.choice("abc") for _ in range(9)) for _ in range(20_000)]
+    model = language_id.train(words[:50], np.ones((50, 2)), languages=["x", "y"])
+    asked, real = [0], language_id.find
+    monkeypatch.setattr(language_id, "find", lambda table, keys: asked.__setitem__(0, asked[0] + len(keys)) or real(table, keys))
+    _, n = language_id.Judge(model).totals([" ".join(words)])
+    assert n.tolist() == [200_000] and asked[0] < 2000
+
+
+@pytest.mark.parametrize("window", [5, 1 << 17])
+@pytest.mark.parametrize("entries", [3, 200_000])
+@pytest.mark.parametrize("few", [0, 16])
+def test_numbered_symbols_equal_words(monkeypatch, window, entries, few):
+    """Totals and counts equal those of the words one by one, whatever window, cache and company texts have."""
+    monkeypatch.setattr(language_id, "WINDOW", window)
+    monkeypatch.setattr(language_id, "FEW", few)
+    texts = [t or "" for t in TEXTS if len(t or "") < 500] + ["abc" * 40, "ªⅣ²x \x85y"]
+    split = [[w for w in ("".join(c for c in w if c.isalpha()) for w in t.lower().split()) if w] for t in texts]
+    every = sorted({w for x in split for w in x})
+    model = language_id.train(every[::2], np.array([[1 + i % 3, i % 2] for i in range(len(every[::2]))], float), languages=["x", "y"])
+    judge = language_id.Judge(model, entries)
+    got, n = judge.totals(texts)
+    for i, x in enumerate(split):
+        ll, size = model.score(x)
+        assert n[i] == size.sum() and np.allclose(got[i], ll.sum(axis=0), atol=1e-6)
+        one, _ = judge.totals([texts[i]])
+        assert np.allclose(one[0], got[i], rtol=0, atol=1e-9)
+    for order in (4, 2):
+        folds = [i % 2 for i in range(len(texts))]
+        batch = pa.RecordBatch.from_arrays([pa.array(["x"] * len(texts)), pa.array(texts), pa.array(folds, pa.int32())], names=["lang", "text", "fold"])
+        for part in language_id.count_grams(order, entries)([batch]):
+            fold = part.column("fold")[0].as_py()
+            have = [w for x, f in zip(split, folds, strict=True) if f == fold for w in x]
+            rows = [*zip(*(x.tolist() for x in language_id.counted(have, np.ones(len(have), np.int64), order)), strict=True), (-1, -1, folds.count(fold))]
+            assert list(zip(*(part.column(c).to_pylist() for c in ("high", "low", "n")), strict=True)) == rows
